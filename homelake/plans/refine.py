@@ -49,7 +49,7 @@ def refine_rows(lake: Lake, staging: DataFrame, run: int) -> None:
         return
     folder = lake.path("silver", "routed", f"run={run}")
     routed(staging).write.mode("overwrite").partitionBy("is_valid").parquet(folder)
-    rows = lake.spark.read.parquet(folder)
+    rows = lake.read_path(folder, schemas.ROUTED)
 
     good = rows.where("is_valid").select(
         *[F.col(f"v_{c}").alias(c) for c in schemas.CLEAN_COLUMNS], "ingest_seq"

@@ -93,7 +93,16 @@ CLEAN = _table(
 )
 CLEAN_COLUMNS = CLEAN.fieldNames()
 
-ERROR_COLUMNS = STAGING.fieldNames() + ["error_message", "retry_status"]
+ERRORS = T.StructType(
+    STAGING.fields + [T.StructField("error_message", T.StringType()), T.StructField("retry_status", T.StringType())]
+)
+
+# What a silver run writes first: clean columns of good rows, raw columns of rejected ones.
+ROUTED = T.StructType(
+    [T.StructField(f"v_{f.name}", f.dataType) for f in CLEAN.fields]
+    + ERRORS.fields
+    + [T.StructField("is_valid", T.BooleanType())]
+)
 
 # One row is appended per committed silver run; the newest row is the current state.
 RUN_LOG = _table(

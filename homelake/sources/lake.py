@@ -93,12 +93,8 @@ class Lake:
 
     def errors(self) -> DataFrame:
         """Rejected rows of all committed runs, with their run number."""
-        schema = T.StructType(
-            schemas.STAGING.fields
-            + [T.StructField("error_message", T.StringType()), T.StructField("retry_status", T.StringType())]
-            + [T.StructField("run", T.LongType()), T.StructField("is_valid", T.BooleanType())]
-        )
-        rows = self.read("silver", "routed", schema)
+        partitions = [T.StructField("run", T.LongType()), T.StructField("is_valid", T.BooleanType())]
+        rows = self.read("silver", "routed", T.StructType(schemas.ERRORS.fields + partitions))
         return rows.where(~F.col("is_valid") & (F.col("run") <= self.state().run)).drop("is_valid")
 
     def clean(self) -> DataFrame:
