@@ -36,7 +36,7 @@ def area_text(area: Column | str) -> Column:
 
 
 def area_m2(text: Column | str) -> Column:
-    return F.round(to_number(text), 2)
+    return F.round(to_number(strip(text)), 2)
 
 
 def area_error(area: Column | str, text: Column | str, value: Column | str) -> Column:

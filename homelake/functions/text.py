@@ -101,8 +101,8 @@ def contains_any(c: Column | str, words: list[str]) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    """Decimal text to double; null unless the whole stripped text is a number."""
-    text = strip(c)
+    """Decimal text, already stripped, to double; null unless the whole text is a number."""
+    text = _col(c)
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
