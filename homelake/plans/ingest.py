@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import FILE_LOG, REJECTED_LINES, STAGING
+from ..schemas import FILE_LOG, LOADED
 from ..sources.lake import Lake
-from ..sources.raw_files import CORRUPT, file_log_rows, list_files, new_files, scan_csv, stamp
+from ..sources.raw_files import file_log_rows, list_files, new_files, scan_csv, stamp
 
 
 def load_rows(lake: Lake, scanned: DataFrame, load: str) -> None:
-    """Write one load: broken lines to quarantine, the rest to staging. May be repeated."""
-    broken = scanned.where(F.col(CORRUPT).isNotNull()).select(
-        "source_file", F.col(CORRUPT).alias("corrupt_record"), F.current_timestamp().alias("created_at")
-    )
-    lake.append(stamp(scanned.where(F.col(CORRUPT).isNull())), "bronze", "staging", load)
-    lake.append(broken.select(*REJECTED_LINES.fieldNames()), "bronze", "rejected_lines", load)
+    """Write one load in one pass; the views of ``Lake`` tell good lines from broken ones."""
+    lake.append(stamp(scanned), "bronze", "staging", load)
 
 
 def ingest(lake: Lake, folder: str, load: str) -> DataFrame:
@@ -32,8 +28,8 @@ def ingest(lake: Lake, folder: str, load: str) -> DataFrame:
             [("no_files", 0, 0, 0)], "status string, processed long, failed long, total long"
         )
     load_rows(lake, scan_csv(lake.spark, paths), load)
-    loaded = lake.read_path(lake.path("bronze", "staging", f"load={load}"), STAGING)
-    log = file_log_rows(files, loaded)
+    loaded = lake.read_path(lake.path("bronze", "staging", f"load={load}"), LOADED)
+    log = file_log_rows(files, loaded.where("corrupt_record is null"))
     lake.append(log, "bronze", "processed_files_log", load)
     done = lake.read_path(lake.path("bronze", "processed_files_log", f"load={load}"), FILE_LOG)
     return done.agg(

@@ -73,7 +73,8 @@ FILE_LOG = _table(
     " processed_at TIMESTAMP, record_count LONG, status STRING"
 )
 
-REJECTED_LINES = _table("source_file STRING, corrupt_record STRING, created_at TIMESTAMP")
+# As stored: a line that could not be read is kept whole, in a column that is null otherwise.
+LOADED = T.StructType(STAGING.fields + [T.StructField("corrupt_record", T.StringType())])
 
 # The columns of the clean table, in order.
 CLEAN = _table(

@@ -27,6 +27,10 @@ class RunState:
     last_micros: int | None = None
 
 
+def _readable(loaded: DataFrame) -> DataFrame:
+    return loaded.where("corrupt_record is null").select(*schemas.STAGING.fieldNames())
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -50,7 +54,15 @@ class Lake:
     # bronze
 
     def staging(self) -> DataFrame:
-        return self.read("bronze", "staging", schemas.STAGING).select(*schemas.STAGING.fieldNames())
+        return _readable(self.read("bronze", "staging", schemas.LOADED))
+
+    def staging_stream(self) -> DataFrame:
+        """Staging rows as loads are added."""
+        return _readable(self.spark.readStream.schema(schemas.LOADED).parquet(self.path("bronze", "staging")))
+
+    def rejected_lines(self) -> DataFrame:
+        rows = self.read("bronze", "staging", schemas.LOADED).where("corrupt_record is not null")
+        return rows.select("source_file", "corrupt_record", "created_at")
 
     def staging_after(self, last_micros: int | None) -> DataFrame:
         """Rows created after the watermark; the comparison is pushed to the Parquet scan."""

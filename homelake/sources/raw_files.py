@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators.keyed import without_known
 from ..operators.missing import null_tokens
-from ..schemas import RAW, RAW_COLUMNS, STAGING
+from ..schemas import LOADED, RAW, RAW_COLUMNS
 
 CORRUPT = "corrupt_record"
 
@@ -58,7 +58,7 @@ def stream_csv(spark: SparkSession, folder: str, archive: str | None = None, max
 
 
 def stamp(rows: DataFrame, created_at: Column | None = None) -> DataFrame:
-    """Staging rows from scanned rows: missing-value texts to null, then arrival time and order.
+    """Loadable rows from scanned rows: missing-value texts to null, then arrival time and order.
 
     ``ingest_seq`` rises with file time, then with the line's place in its file. Multi-line
     files are read whole by one task, so the place within the task is the place in the file.
@@ -71,7 +71,7 @@ def stamp(rows: DataFrame, created_at: Column | None = None) -> DataFrame:
             "ingest_seq": F.shiftleft(seconds, 31).bitwiseOR(place),
         }
     )
-    return stamped.select(*STAGING.fieldNames())
+    return stamped.select(*LOADED.fieldNames())
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
