@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 from .text import BROWSER_SPACE, _col, strip
 
-_NOT_CONTENT = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+# What a comment, script or style element holds is not page content.
+_NOT_CONTENT = (
+    r"(?s)<(?:!--.*?-->|[sS][cC][rR][iI][pP][tT]\b.*?</[sS][cC][rR][iI][pP][tT]\s*>"
+    r"|[sS][tT][yY][lL][eE]\b.*?</[sS][tT][yY][lL][eE]\s*>)"
+)
 
 # The entities that a browser writes when it saves a page.
 _ENTITIES = [
@@ -25,20 +29,28 @@ _ENTITIES = [
 ]
 
 
+def _any_case(name: str) -> str:
+    """Tag and attribute names ignore case; a case-insensitive pattern would be slower, and
+    would also ignore the case of class names, which counts."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in name)
+
+
+_CLASS = rf"(?=[^>]*\s{_any_case('class')}\s*=\s*[\"']"
+
+
 def _open_tag(tag: str, classes: tuple[str, ...], exact_class: str | None) -> str:
-    wanted = "".join(
-        rf"(?=[^>]*\sclass\s*=\s*[\"'](?:[^\"'>]*\s)?{c}(?:\s[^\"'>]*)?[\"'])" for c in classes
-    )
+    wanted = "".join(rf"{_CLASS}(?:[^\"'>]*\s)?{c}[\s\"'])" for c in classes)
     if exact_class is not None:
-        wanted += rf"(?=[^>]*\sclass\s*=\s*[\"']{exact_class}[\"'])"
-    return rf"<{tag}\b{wanted}[^>]*>"
+        wanted += rf"{_CLASS}{exact_class}[\"'])"
+    return rf"<{_any_case(tag)}\b{wanted}[^>]*+>"
 
 
 def element(tag: str, *classes: str, exact_class: str | None = None) -> str:
     """Pattern whose group 1 is the inside of an element."""
-    not_tag = rf"[^<]++|<(?!/?{tag}\b)"
-    nested = rf"<{tag}\b[^>]*>(?:{not_tag})*+</{tag}\s*>"
-    return rf"(?is){_open_tag(tag, classes, exact_class)}((?:{not_tag}|{nested})*+)</{tag}\s*>"
+    name = _any_case(tag)
+    not_tag = rf"[^<]++|<(?!/?+{name}\b)"
+    nested = rf"<{name}\b[^>]*+>(?:{not_tag})*+</{name}\s*+>"
+    return rf"{_open_tag(tag, classes, exact_class)}((?:{not_tag}|{nested})*+)</{name}\s*+>"
 
 
 def content(html: Column | str) -> Column:
@@ -53,17 +65,25 @@ def decode(text: Column | str) -> Column:
     return text
 
 
+def without_tags(fragment: Column | str) -> Column:
+    return F.regexp_replace(_col(fragment), r"<[^>]*>", "")
+
+
 def text_content(fragment: Column | str) -> Column:
-    return strip(decode(F.regexp_replace(_col(fragment), r"<[^>]*>", "")), BROWSER_SPACE)
+    return strip(decode(without_tags(fragment)), BROWSER_SPACE)
 
 
 def all_inner(fragment: Column | str, pattern: str) -> Column:
     return F.regexp_extract_all(_col(fragment), F.lit(pattern), F.lit(1))
 
 
+def first_inner(fragment: Column | str, pattern: str) -> Column:
+    """Inside of the first matching element; null if there is no such element."""
+    return F.get(all_inner(fragment, pattern), F.lit(0))
+
+
 def first_text(fragment: Column | str, pattern: str) -> Column:
-    """Text of the first matching element; null if there is no such element."""
-    return text_content(F.get(all_inner(fragment, pattern), F.lit(0)))
+    return text_content(first_inner(fragment, pattern))
 
 
 def text_or_null(fragment: Column | str, pattern: str) -> Column:
@@ -72,23 +92,24 @@ def text_or_null(fragment: Column | str, pattern: str) -> Column:
 
 
 def labelled_items(fragment: Column | str, item: str, title: str, value: str) -> Column:
-    """Array of (label, value): the lower-cased title and the value text of each item."""
+    """Array of (label, value): the lower-cased title text and the inside of the value element."""
     return F.transform(
         all_inner(fragment, item),
         lambda part: F.struct(
-            F.lower(first_text(part, title)).alias("label"), first_text(part, value).alias("value")
+            F.lower(decode(without_tags(first_inner(part, title)))).alias("label"),
+            first_inner(part, value).alias("value"),
         ),
     )
 
 
 def icon_items(fragment: Column | str, item: str, value: str) -> Column:
     """As ``labelled_items`` for items told apart by an icon: the label is the icon's classes."""
-    icon = r"(?is)<i\b[^>]*\sclass\s*=\s*[\"']([^\"'>]*)[\"']"
+    icon = rf"<[iI]\b[^>]*\s{_any_case('class')}\s*=\s*[\"']([^\"'>]*)[\"']"
     return F.transform(
         all_inner(fragment, item),
         lambda part: F.struct(
             F.concat(F.lit(" "), F.array_join(all_inner(part, icon), " "), F.lit(" ")).alias("label"),
-            first_text(part, value).alias("value"),
+            first_inner(part, value).alias("value"),
         ),
     )
 
@@ -103,16 +124,16 @@ def value_of(items: Column | str, label: str, default: str | None = "", skip_bla
 
     def usable(item: Column) -> Column:
         ok = F.contains(item["label"], F.lit(wanted)) & item["value"].isNotNull()
-        return ok & (item["value"] != "") if skip_blank else ok
+        return ok & (text_content(item["value"]) != "") if skip_blank else ok
 
-    found = F.get(F.filter(_col(items), usable), F.lit(0))["value"]
+    found = text_content(F.get(F.filter(_col(items), usable), F.lit(0))["value"])
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(default).cast("string"))
 
 
 def hrefs(html: Column | str, link_class: str | None = None) -> Column:
     """Link targets as written in the page, in order, repeats kept."""
     tag = _open_tag("a", (link_class,) if link_class else (), None)
-    anchor = "(?is)" + tag[: -len("[^>]*>")] + r"[^>]*?\shref\s*=\s*[\"']([^\"'>]+)[\"']"
+    anchor = tag[: -len("[^>]*+>")] + rf"[^>]*?\s{_any_case('href')}\s*=\s*[\"']([^\"'>]+)[\"']"
     return F.regexp_extract_all(_col(html), F.lit(anchor), F.lit(1))
 
 

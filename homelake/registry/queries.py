@@ -119,7 +119,7 @@ def timestamp_text(spark, folder):
 
 def text_forms(spark, folder):
     """Title case, single spacing and accent-free form of every document's whole text."""
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents"), "doc_id")
     return docs.select(
         "doc_id",
         F.md5(F.encode(title_case("text"), "UTF-8")).alias("title_md5"),

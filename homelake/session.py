@@ -8,9 +8,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The cleaning projection is long. Beyond this size the JVM interprets a generated method
-    # instead of compiling it, so Spark should generate one class per projection instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
