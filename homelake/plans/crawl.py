@@ -139,6 +139,8 @@ def page_payloads(seeds: DataFrame, items: DataFrame, columns: list[str], unique
     page without items has one row with an empty list.
     """
     counts = items_per_page(seeds, items)
+    # Counts are one row per page: by their size at run time Spark joins them without moving the
+    # items, or splits a page that is too large for one task.
     chunks = F.greatest(F.lit(1), F.ceil(F.col("subpage_count") / chunk_size))
     placed = items.join(counts, "main_page_url").withColumn("chunk", F.pmod(F.xxhash64(unique), chunks))
     lists = placed.groupBy("main_page_url", "chunk", "subpage_count").agg(

@@ -42,11 +42,17 @@ def routed(staging: DataFrame) -> DataFrame:
     )
 
 
-def refine_rows(lake: Lake, staging: DataFrame, run: int) -> None:
-    """Put staging rows through run number ``run``; a run already in the log is left alone."""
+def refine_rows(lake: Lake, staging: DataFrame, run: int, feed: str = "refine") -> None:
+    """Put staging rows through run number ``run``; if it is the log's newest run, it is done.
+
+    ``feed`` names where the rows come from. Runs are numbered by one feed at a time, and a number
+    that another feed has used is an error rather than a repetition.
+    """
     state = lake.state()
-    if run <= state.run:
+    if run == state.run and feed == state.feed:
         return
+    if run <= state.run:
+        raise ValueError(f"run {run} of {feed}: the run log is at {state.run} of {state.feed}")
     folder = lake.path("silver", "routed", f"run={run}")
     routed(staging).write.mode("overwrite").partitionBy("is_valid").parquet(folder)
     rows = lake.read_path(folder, schemas.ROUTED)
@@ -56,10 +62,10 @@ def refine_rows(lake: Lake, staging: DataFrame, run: int) -> None:
     )
     changes = lake.path("silver", "clean_changes", f"run={run}")
     newest_listing(good).select(*schemas.CLEAN_COLUMNS).write.mode("overwrite").parquet(changes)
-    lake.commit(_run_row(rows, lake.read_path(changes, schemas.CLEAN), run, state))
+    lake.commit(_run_row(rows, lake.read_path(changes, schemas.CLEAN), run, state, feed))
 
 
-def _run_row(rows: DataFrame, changes: DataFrame, run: int, state: RunState) -> DataFrame:
+def _run_row(rows: DataFrame, changes: DataFrame, run: int, state: RunState, feed: str) -> DataFrame:
     """The run's log row, in one aggregate over what the run has written."""
     valid = F.col("is_valid").cast("int")
     facts = rows.select(F.unix_micros("created_at").alias("at"), valid.alias("good"), (1 - valid).alias("bad"), F.lit(0).alias("kept"))
@@ -73,6 +79,7 @@ def _run_row(rows: DataFrame, changes: DataFrame, run: int, state: RunState) ->
         F.sum("bad").alias("error_rows"),
         (F.sum("good") - F.sum("kept")).alias("duplicate_rows"),
         F.current_timestamp().alias("committed_at"),
+        F.lit(feed).alias("feed"),
     )
 
 

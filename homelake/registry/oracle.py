@@ -258,7 +258,7 @@ ORACLE = {
         cast(sum(cast(million_per_m2 as decimal(18, 2))) as double) / count(*) as avg_million_per_m2 from good where million_per_m2 > 0 group by 1""",
     "latest_per_url": f"{_ALL}, {_GOOD} select * from good qualify {_NEWEST} = 1",
     "upsert_merge": f"{_MERGED} select * from merged",
-    "exact_dedup": "select distinct md5(text) as text_md5, length(text) as n_chars from documents",
+    "exact_dedup": "select distinct md5(text) as text_md5, cast(length(text) as integer) as n_chars from documents",
     "first_copy": "select min(doc_id) as doc_id, lang, source from documents group by text, lang, source",
     "incremental_scan": "select * from events where ts > timestamp '2024-01-20'",
     "run_watermark": f"with {LISTINGS} select max(created_at) as last_date, count(*) as n_rows from listings",
@@ -312,7 +312,7 @@ ORACLE = {
     "delete_where": "select * from orders where o_orderstatus is null or o_orderstatus <> 'P'",
     "chunk_union": f"{_ALL} select ingest_seq, error_message from cleaned",
     "page_fields": f"select page_id, {_inner('h1')} as heading, {_inner('footer')} as footer from pages",
-    "page_links": f"with {_LINKS} select page_id, position, subpage_url from kept",
+    "page_links": f"with {_LINKS} select page_id, cast(position as integer) as position, subpage_url from kept",
     "links_per_page": f"""with {_LINKS} select p.url as main_page_url, count(k.page_id) as subpage_count
         from pages p left join kept k on k.page_id = p.page_id group by 1""",
     "crawl_records": f"with {LISTINGS} select ingest_seq, {_PAGE_SELECT} from listings",

@@ -108,5 +108,5 @@ ROUTED = T.StructType(
 # One row is appended per committed silver run; the newest row is the current state.
 RUN_LOG = _table(
     "run LONG, last_date TIMESTAMP, base_run LONG, good_rows LONG, error_rows LONG,"
-    " duplicate_rows LONG, committed_at TIMESTAMP"
+    " duplicate_rows LONG, committed_at TIMESTAMP, feed STRING"
 )

@@ -25,6 +25,7 @@ class RunState:
     run: int = 0
     base_run: int = 0
     last_micros: int | None = None
+    feed: str | None = None
 
 
 def _readable(loaded: DataFrame) -> DataFrame:
@@ -90,7 +91,7 @@ class Lake:
         return self.read("silver", "run_log", schemas.RUN_LOG)
 
     def state(self) -> RunState:
-        facts = F.struct("run", "base_run", F.unix_micros("last_date").alias("last_micros"))
+        facts = F.struct("run", "base_run", F.unix_micros("last_date").alias("last_micros"), "feed")
         newest = self.run_log().agg(F.max(facts).alias("newest")).first().newest
         return RunState(**newest.asDict()) if newest else RunState()
 

@@ -33,4 +33,4 @@ def ingest_stream(
 
 def refine_stream(lake: Lake, rows: DataFrame, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
     """Staging-shaped stream into silver: one run per batch, numbered after it."""
-    return _start(rows, lambda df, n: refine_rows(lake, df, n + 1), checkpoint, continuous)
+    return _start(rows, lambda df, n: refine_rows(lake, df, n + 1, f"stream {checkpoint}"), checkpoint, continuous)

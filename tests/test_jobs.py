@@ -109,6 +109,9 @@ def test_runs_are_incremental_and_repeatable(lake):
     refine_rows(lake, lake.staging(), 2)  # a run that is in the log is not done again
     assert sorted(map(str, lake.clean().collect())) == before and lake.errors().count() == 1
 
+    with pytest.raises(ValueError):
+        refine_rows(lake, lake.staging(), 2, "another feed")
+
     # Rows of a later run with older times still advance nothing backwards.
     refine_rows(lake, lake.staging().where("title = 'too late'"), 3)
     assert lake.state().run == 3 and lake.last_transform_date().first().last_date == t[5]
