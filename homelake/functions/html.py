@@ -114,11 +114,10 @@ def icon_items(fragment: Column | str, item: str, value: str) -> Column:
     )
 
 
-def value_of(items: Column | str, label: str, default: str | None = "", skip_blank: bool = False) -> Column:
+def value_text(items: Column | str, label: str, skip_blank: bool = False) -> Column:
     """Value of the first item whose label contains ``label`` and that has a value element.
 
-    With ``skip_blank`` an item with a blank value is passed over; otherwise it ends the search
-    and gives the default.
+    With ``skip_blank`` an item with a blank value is passed over; otherwise it ends the search.
     """
     wanted = label.lower()
 
@@ -126,8 +125,17 @@ def value_of(items: Column | str, label: str, default: str | None = "", skip_bla
         ok = F.contains(item["label"], F.lit(wanted)) & item["value"].isNotNull()
         return ok & (text_content(item["value"]) != "") if skip_blank else ok
 
-    found = text_content(F.get(F.filter(_col(items), usable), F.lit(0))["value"])
-    return F.coalesce(F.nullif(found, F.lit("")), F.lit(default).cast("string"))
+    return text_content(F.get(F.filter(_col(items), usable), F.lit(0))["value"])
+
+
+def or_default(text: Column | str, default: str | None) -> Column:
+    """The default for text that is null or empty. Apply it to a column, not to an extraction:
+    a null check may evaluate its argument twice."""
+    return F.coalesce(F.when(_col(text) != "", _col(text)), F.lit(default).cast("string"))
+
+
+def value_of(items: Column | str, label: str, default: str | None = "", skip_blank: bool = False) -> Column:
+    return or_default(value_text(items, label, skip_blank), default)
 
 
 def hrefs(html: Column | str, link_class: str | None = None) -> Column:

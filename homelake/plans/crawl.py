@@ -83,24 +83,25 @@ def listing_records(
     A page without content gives a record with only its addresses, marked ``empty_item``.
     """
     s = selectors
-    values = {
-        "title": H.text_or_null("_doc", H.element("h1", exact_class=s.title_class)),
-        "address": H.text_or_null("_doc", H.element("span", exact_class=s.address_class)),
-        "project_name": H.text_or_null("_doc", H.element("div", exact_class=s.project_class)),
-        **{c: H.value_of("_specs", label) for c, label in s.spec_labels.items()},
-        **{c: H.value_of("_cards", f" {icon} ") for c, icon in s.card_icons.items()},
-        **{c: H.value_of("_posts", label, default=None, skip_blank=True) for c, label in s.post_labels.items()},
-        "crawled_at": crawled_at,
+    texts = {
+        "title": H.first_text("_doc", H.element("h1", exact_class=s.title_class)),
+        "address": H.first_text("_doc", H.element("span", exact_class=s.address_class)),
+        "project_name": H.first_text("_doc", H.element("div", exact_class=s.project_class)),
+        **{c: H.value_text("_specs", label) for c, label in s.spec_labels.items()},
+        **{c: H.value_text("_cards", f" {icon} ") for c, icon in s.card_icons.items()},
+        **{c: H.value_text("_posts", label, skip_blank=True) for c, label in s.post_labels.items()},
     }
+    # Found once here, tested for blanks in the next projection.
+    found = field_items(pages, s).withColumns({f"_t_{c}": text for c, text in texts.items()})
+    blank_when_absent = [*s.spec_labels, *s.card_icons]
     empty = is_blank("html")
-    values = {c: F.when(~empty, v) for c, v in values.items()} | {
+    values = {c: H.or_default(f"_t_{c}", "" if c in blank_when_absent else None) for c in texts}
+    values = {c: F.when(~empty, v) for c, v in {**values, "crawled_at": crawled_at}.items()} | {
         "main_page_url": F.col("main_page_url"),
         "subpage_url": F.col("url"),
         "source": source,
     }
-    return field_items(pages, s).select(
-        *[values[c].alias(c) for c in RAW_COLUMNS], F.when(empty, "empty_item").alias("error"), *keep
-    )
+    return found.select(*[values[c].alias(c) for c in RAW_COLUMNS], F.when(empty, "empty_item").alias("error"), *keep)
 
 
 def listing_links(
