@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, markov, mixing, packing, simhash
+from . import embeddings, language_id, markov, mixing, packing, simhash, spans, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_packing(spark, folder):
     )
 
 
+def op3_warc(spark, folder):
+    return warc.round_trip(table(spark, folder, "pages")).drop("uri")
+
+
 def op4_secrets(spark, folder):
     found = markov.find_secrets(table(spark, folder, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -52,12 +56,23 @@ def op6_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_embeddings(spark, folder):
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op9_spans(spark, folder):
+    return spans.digests(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
+    "op7_embeddings": op7_embeddings,
+    "op9_spans": op9_spans,
 }
 
 ORACLE: dict[str, str] = {}

@@ -93,7 +93,8 @@ def _last_start(table: pa.Table, keys: list[str]) -> int:
 
 
 def in_tiles(df: DataFrame, key: str, member: str, tile: int) -> DataFrame:
-    """Rows with ``tile_a`` and ``tile_b``, so that groups of any size can be compared in pieces.
+    """Rows with ``tile_a``, ``tile_b``, ``own_tile`` and ``n_tiles``, so that groups of any size can
+    be compared in pieces.
 
     A key with up to ``tile`` rows has the one piece (0, 0). A larger one is dealt by the hash of
     ``member`` to tiles of about that size, and each row goes to the pieces (own tile, other
@@ -102,17 +103,17 @@ def in_tiles(df: DataFrame, key: str, member: str, tile: int) -> DataFrame:
     sizes = df.groupBy(key).agg(F.count("*").alias("n_key")).where(F.col("n_key") > tile)
     large = stored(sizes.select(F.col(key).alias("large_key"), F.ceil(F.col("n_key") / tile).cast("int").alias("n_tiles")), "tiles")
     out = df.join(large, F.col(key) == F.col("large_key"), "left").drop("large_key")
-    own = F.pmod(F.xxhash64(member, F.lit(11)), F.col("n_tiles")).cast("int")
+    n_tiles = F.coalesce("n_tiles", F.lit(1))
+    own = F.pmod(F.xxhash64(member, F.lit(11)), n_tiles).cast("int")
+    out = out.withColumn("own_tile", own).withColumn("n_tiles", n_tiles)
     others = F.transform(
         F.sequence(F.lit(0), F.col("n_tiles") - 1),
-        lambda i: F.struct(F.least(F.col("own"), i).alias("a"), F.greatest(F.col("own"), i).alias("b")),
+        lambda i: F.struct(F.least("own_tile", i).alias("a"), F.greatest("own_tile", i).alias("b")),
     )
     # A piece (i, i) is needed only where a key has one tile: rows of a tile also meet in (i, j).
-    pieces = F.when(F.col("n_tiles").isNull(), F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))).otherwise(
-        F.filter(others, lambda p: p["a"] != p["b"])
-    )
-    out = out.withColumn("own", own).withColumn("piece", F.explode(pieces))
-    return out.withColumns({"tile_a": F.col("piece.a"), "tile_b": F.col("piece.b")}).drop("piece", "own", "n_tiles")
+    pieces = F.filter(others, lambda p: (p["a"] != p["b"]) | (F.col("n_tiles") == 1))
+    out = out.withColumn("piece", F.explode(pieces))
+    return out.withColumns({"tile_a": F.col("piece.a"), "tile_b": F.col("piece.b")}).drop("piece")
 
 
 class Forest:
