@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language_id, markov, mixing, packing, simhash, spans, warc
+from . import embeddings, language_id, markov, mixing, packing, preferences, simhash, spans, spotsigs, warc
+
+from .oracle import SQL
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,10 +62,31 @@ def op7_embeddings(spark, folder):
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op8_spotsigs(spark, folder):
+    return spotsigs.against_edits(table(spark, folder, "documents"))
+
+
 def op9_spans(spark, folder):
     return spans.digests(table(spark, folder, "documents"))
 
 
+def op10_preferences(spark, folder):
+    """Each conversation against the same one whose last answer only repeats the turn before."""
+    pairs = preferences.format_pairs(preferences.echo_pairs(table(spark, folder, "conversations")))
+    shown = lambda mask: F.array_join(
+        F.transform(mask, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return pairs.select(
+        F.col("pair_id").alias("conv_id"),
+        "prompt_turns",
+        "prompt",
+        "chosen",
+        "rejected",
+        shown("chosen_mask").alias("chosen_mask"),
+        shown("rejected_mask").alias("rejected_mask"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -72,7 +95,9 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op7_embeddings": op7_embeddings,
+    "op8_spotsigs": op8_spotsigs,
     "op9_spans": op9_spans,
+    "op10_preferences": op10_preferences,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
