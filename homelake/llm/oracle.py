@@ -17,7 +17,7 @@ bis as (
   select i + 1,
     case when flat then (low + high) / 2 else low end, case when flat then high else (low + high) / 2 end, p
   from (select *, list_min(p) ** ((low + high) / 2 - 1)
-      / list_sum(list_transform(p, x -> x ** ((low + high) / 2))) > 1.5 + 1e-12 as flat from bis where i < 32)),
+      / list_sum(list_transform(p, lambda x: x ** ((low + high) / 2))) > 1.5 + 1e-12 as flat from bis where i < 32)),
 flattest as (select list_min(p) ** (-1) / len(p) > 1.5 + 1e-12 as needed from shares),
 power as (select case when needed then round(high, 6) else 0.0 end as a from bis, flattest where i = 32),
 raised as (select key, tokens, case when tokens > 0 then tokens::double ** a else 0.0 end as share from src, power),
@@ -51,7 +51,7 @@ with p as (
   select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
 d as (
   select *, strlen(html)::bigint as payload_bytes, min(page_id) over (partition by h) as first_id,
-    array_to_string(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       (((('0x' || substr(h, (k // 8 * 10 + 1)::int, 10))::bigint >> (35 - 5 * (k % 8))::int) & 31) + 1)::int, 1)), '') as payload_digest
   from p)
 select page_id, payload_bytes, payload_digest,
