@@ -1,117 +1,93 @@
-"""Field extraction from stored pages with regular expressions on columns.
+"""Field extraction from stored pages.
 
-Selectors are a tag plus class names, given as parameters. Patterns follow elements of the
-same tag one level down, which is what listing pages need.
+A page is parsed once, in Arrow batches, for all fields asked of it; choosing among labelled items
+and cleaning of texts stay column expressions. Elements are found at any depth, with any quoting
+of attributes, and all character references are decoded. Selectors are a tag plus class names.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .dom import Page, absolute
 from .text import BROWSER_SPACE, _col, strip
 
-# What a comment, script or style element holds is not page content.
-_NOT_CONTENT = (
-    r"(?s)<(?:!--.*?-->|[sS][cC][rR][iI][pP][tT]\b.*?</[sS][cC][rR][iI][pP][tT]\s*>"
-    r"|[sS][tT][yY][lL][eE]\b.*?</[sS][tT][yY][lL][eE]\s*>)"
-)
-
-# The entities that a browser writes when it saves a page.
-_ENTITIES = [
-    ("&nbsp;", "\xa0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&amp;", "&"),
-]
-
-
-def _any_case(name: str) -> str:
-    """Tag and attribute names ignore case; a case-insensitive pattern would be slower, and
-    would also ignore the case of class names, which counts."""
-    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in name)
-
-
-_CLASS = rf"(?=[^>]*\s{_any_case('class')}\s*=\s*[\"']"
-
 
-def _open_tag(tag: str, classes: tuple[str, ...], exact_class: str | None) -> str:
-    wanted = "".join(rf"{_CLASS}(?:[^\"'>]*\s)?{c}[\s\"'])" for c in classes)
-    if exact_class is not None:
-        wanted += rf"{_CLASS}{exact_class}[\"'])"
-    return rf"<{_any_case(tag)}\b{wanted}[^>]*+>"
+@dataclass(frozen=True)
+class Selector:
+    tag: str
+    classes: tuple[str, ...] = ()
+    exact_class: str | None = None
 
+    def all(self, page: Page, inside=None):
+        return page.find_all(self.tag, self.classes, self.exact_class, inside)
 
-def element(tag: str, *classes: str, exact_class: str | None = None) -> str:
-    """Pattern whose group 1 is the inside of an element."""
-    name = _any_case(tag)
-    not_tag = rf"[^<]++|<(?!/?+{name}\b)"
-    nested = rf"<{name}\b[^>]*+>(?:{not_tag})*+</{name}\s*+>"
-    return rf"{_open_tag(tag, classes, exact_class)}((?:{not_tag}|{nested})*+)</{name}\s*+>"
+    def first(self, page: Page, inside=None):
+        return next(self.all(page, inside), None)
 
 
-def content(html: Column | str) -> Column:
-    """The page without comments, scripts and styles."""
-    return F.regexp_replace(_col(html), _NOT_CONTENT, "")
+@dataclass(frozen=True)
+class Items:
+    """Repeated blocks with a label and a value: the label is the text of ``title``, or without
+    one the classes of the block's icons."""
 
+    item: Selector
+    value: Selector
+    title: Selector | None = None
 
-def decode(text: Column | str) -> Column:
-    text = _col(text)
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    def read(self, page: Page) -> list[dict]:
+        out = []
+        for block in self.item.all(page):
+            if self.title is not None:
+                label = page.text(self.title.first(page, block))
+            else:
+                classes = (e.attributes.get("class", "") for e in page.find_all("i", inside=block))
+                label = " " + " ".join(" ".join(classes).split()) + " "
+            out.append({"label": label, "value": page.text(self.value.first(page, block))})
+        return out
 
 
-def without_tags(fragment: Column | str) -> Column:
-    return F.regexp_replace(_col(fragment), r"<[^>]*>", "")
+def element(tag: str, *classes: str, exact_class: str | None = None) -> Selector:
+    return Selector(tag, classes, exact_class)
 
 
-def text_content(fragment: Column | str) -> Column:
-    return strip(decode(without_tags(fragment)), BROWSER_SPACE)
+def fields(html: Column | str, texts: dict[str, Selector] = {}, items: dict[str, Items] = {}) -> Column:
+    """One struct for a page: the text of each first element, and each list of labelled items.
 
+    Null for a null page. Texts are as written, with the space around them; null where there is
+    no such element.
+    """
+    kinds = [f"`{n}` string" for n in texts] + [f"`{n}` array<struct<label:string,value:string>>" for n in items]
 
-def all_inner(fragment: Column | str, pattern: str) -> Column:
-    return F.regexp_extract_all(_col(fragment), F.lit(pattern), F.lit(1))
-
-
-def first_inner(fragment: Column | str, pattern: str) -> Column:
-    """Inside of the first matching element; null if there is no such element."""
-    return F.get(all_inner(fragment, pattern), F.lit(0))
-
+    @F.pandas_udf(", ".join(kinds))
+    def read(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for source in pages:
+            page = Page(source or "")
+            rows.append(
+                [page.text(s.first(page)) for s in texts.values()] + [i.read(page) for i in items.values()]
+            )
+        return pd.DataFrame(rows, columns=[*texts, *items])
 
-def first_text(fragment: Column | str, pattern: str) -> Column:
-    return text_content(first_inner(fragment, pattern))
+    return read(_col(html))
 
 
-def text_or_null(fragment: Column | str, pattern: str) -> Column:
-    """As ``first_text``, and null for an element without text."""
-    return F.nullif(first_text(fragment, pattern), F.lit(""))
+def trimmed(text: Column | str) -> Column:
+    return strip(_col(text), BROWSER_SPACE)
 
 
-def labelled_items(fragment: Column | str, item: str, title: str, value: str) -> Column:
-    """Array of (label, value): the lower-cased title text and the inside of the value element."""
-    return F.transform(
-        all_inner(fragment, item),
-        lambda part: F.struct(
-            F.lower(decode(without_tags(first_inner(part, title)))).alias("label"),
-            first_inner(part, value).alias("value"),
-        ),
-    )
+def first_text(html: Column | str, selector: Selector) -> Column:
+    """Text of the first such element; null without one."""
+    return trimmed(fields(html, {"text": selector})["text"])
 
 
-def icon_items(fragment: Column | str, item: str, value: str) -> Column:
-    """As ``labelled_items`` for items told apart by an icon: the label is the icon's classes."""
-    icon = rf"<[iI]\b[^>]*\s{_any_case('class')}\s*=\s*[\"']([^\"'>]*)[\"']"
-    return F.transform(
-        all_inner(fragment, item),
-        lambda part: F.struct(
-            F.concat(F.lit(" "), F.array_join(all_inner(part, icon), " "), F.lit(" ")).alias("label"),
-            first_inner(part, value).alias("value"),
-        ),
-    )
+def text_or_null(text: Column | str) -> Column:
+    """Trimmed, and null for an element without text."""
+    return F.nullif(trimmed(text), F.lit(""))
 
 
 def value_text(items: Column | str, label: str, skip_blank: bool = False) -> Column:
@@ -122,10 +98,10 @@ def value_text(items: Column | str, label: str, skip_blank: bool = False) -> Col
     wanted = label.lower()
 
     def usable(item: Column) -> Column:
-        ok = F.contains(item["label"], F.lit(wanted)) & item["value"].isNotNull()
-        return ok & (text_content(item["value"]) != "") if skip_blank else ok
+        ok = F.contains(F.lower(item["label"]), F.lit(wanted)) & item["value"].isNotNull()
+        return ok & (trimmed(item["value"]) != "") if skip_blank else ok
 
-    return text_content(F.get(F.filter(_col(items), usable), F.lit(0))["value"])
+    return trimmed(F.get(F.filter(_col(items), usable), F.lit(0))["value"])
 
 
 def or_default(text: Column | str, default: str | None) -> Column:
@@ -138,26 +114,17 @@ def value_of(items: Column | str, label: str, default: str | None = "", skip_bla
     return or_default(value_text(items, label, skip_blank), default)
 
 
-def hrefs(html: Column | str, link_class: str | None = None) -> Column:
-    """Link targets as written in the page, in order, repeats kept."""
-    tag = _open_tag("a", (link_class,) if link_class else (), None)
-    anchor = tag[: -len("[^>]*+>")] + rf"[^>]*?\s{_any_case('href')}\s*=\s*[\"']([^\"'>]+)[\"']"
-    return F.regexp_extract_all(_col(html), F.lit(anchor), F.lit(1))
-
-
-def absolute_url(href: Column | str, page_url: Column | str) -> Column:
-    """The address a browser would open, for the usual relative forms."""
-    href, page = decode(href), _col(page_url)
-    origin = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    no_query = F.regexp_replace(page, r"[?#].*$", "")
-    folder = F.when(no_query == origin, F.concat(origin, F.lit("/"))).otherwise(
-        F.regexp_extract(no_query, r"^(.*/)", 1)
-    )
-    return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(origin, r"^([^/]*)", 1), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(page, r"#.*$", ""), href))
-        .when(href.startswith("?"), F.concat(no_query, href))
-        .otherwise(F.concat(folder, href))
-    )
+def links(html: Column | str, page_url: Column | str, link_class: str | None = None) -> Column:
+    """Addresses of a page's links in order, repeats kept, relative ones made absolute."""
+    classes = (link_class,) if link_class else ()
+
+    @F.pandas_udf("array<string>")
+    def read(pages: pd.Series, urls: pd.Series) -> pd.Series:
+        out = []
+        for source, url in zip(pages, urls, strict=True):
+            page = Page(source or "")
+            anchors = (a.attributes.get("href", "") for a in page.find_all("a", classes))
+            out.append([absolute(url, href) for href in anchors if href])
+        return pd.Series(out)
+
+    return read(_col(html), _col(page_url))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,37 +22,107 @@ FURNITURE_BASIC = ["cơ bản", "basic", "đơn giản"]
 FURNITURE_PREMIUM = ["cao cấp", "sang trọng", "premium", "luxury"]
 FURNITURE_UNCLEAR = "Nội thất cần xử lý thủ công"
 
+# Words of projects in preparation, which come before all stages.
+PREPARATION = "Chuẩn bị"
+PREPARATION_KEYWORDS = [
+    "du kien",
+    "chuan bi",
+    "ra mat trong",
+    "dang cap nhat",
+    "sap ra mat",
+    "sap mo ban",
+    "sap khoi cong",
+    "sap trien khai",
+]
+
 # Project stages in order of precedence, matched in accent-free text.
 STAGE_KEYWORDS = [
-    (
-        "Chuẩn bị",
-        "du kien, chuan bi, ra mat trong, dang cap nhat, sap ra mat, sap mo ban, sap khoi cong,"
-        " sap trien khai",
-    ),
     (
         "Đã bàn giao",
-        "da ban giao, da co so hong, da ban giao toa, da ban giao thap, da ban giao giai doan,"
-        " da ban giao phan khu, da xay dung hoan thien",
+        [
+            "da ban giao",
+            "da co so hong",
+            "da ban giao toa",
+            "da ban giao thap",
+            "da ban giao giai doan",
+            "da ban giao phan khu",
+            "da xay dung hoan thien",
+        ],
     ),
     (
         "Bàn giao",
-        "ban giao nam, ban giao thang, ban giao quy, ban giao vao, ban giao ngay, ban giao toa,"
-        " ban giao toan, ban giao giai doan, ban giao trong, sap ban giao, chuan bi ban giao,"
-        " dang ban giao",
+        [
+            "ban giao nam",
+            "ban giao thang",
+            "ban giao quy",
+            "ban giao vao",
+            "ban giao ngay",
+            "ban giao toa",
+            "ban giao toan",
+            "ban giao giai doan",
+            "ban giao trong",
+            "sap ban giao",
+            "chuan bi ban giao",
+            "dang ban giao",
+        ],
     ),
     (
         "Đang bán",
-        "dang ban, dang mo ban, ban het, ban toan bo, ban gio hang, ban nhung can cuoi,"
-        " dang ban phan khu, dang ban toa",
+        [
+            "dang ban",
+            "dang mo ban",
+            "ban het",
+            "ban toan bo",
+            "ban gio hang",
+            "ban nhung can cuoi",
+            "dang ban phan khu",
+            "dang ban toa",
+        ],
     ),
     (
         "Mở bán",
-        "mo ban, ra mat thap, ra mat du an, mo ban dot, mo ban giai doan, mo ban gio hang, ra mat khu",
+        [
+            "mo ban",
+            "ra mat thap",
+            "ra mat du an",
+            "mo ban dot",
+            "mo ban giai doan",
+            "mo ban gio hang",
+            "ra mat khu",
+        ],
+    ),
+    (
+        "Nhận booking",
+        [
+            "nhan booking",
+            "nhan dat cho",
+            "giu cho",
+            "dat cho",
+            "nhan giu cho",
+        ],
+    ),
+    (
+        "Cất nóc",
+        [
+            "cat noc",
+            "sap cat noc",
+        ],
+    ),
+    (
+        "Khởi công",
+        [
+            "khoi cong",
+            "dong tho",
+        ],
+    ),
+    (
+        "thi công",
+        [
+            "thi cong",
+            "thi cong tro lai",
+            "dang thi cong",
+        ],
     ),
-    ("Nhận booking", "nhan booking, nhan dat cho, giu cho, dat cho, nhan giu cho"),
-    ("Cất nóc", "cat noc, sap cat noc"),
-    ("Khởi công", "khoi cong, dong tho"),
-    ("thi công", "thi cong, thi cong tro lai, dang thi cong"),
 ]
 STAGE_OTHER = "Khác"
 
@@ -134,8 +202,8 @@ def status_stage(raw: Column | str, plain: Column | str | None = None) -> Column
     plain = plain_ascii(raw) if plain is None else _col(plain)
     stage = F.when(is_blank(raw) | (raw == "(blank)") | is_empty(plain), UNKNOWN)
     stage = stage.when(plain == "khong xac dinh", UNKNOWN)
-    for label, keywords in STAGE_KEYWORDS:
-        stage = stage.when(plain.rlike("|".join(re.split(r",\s*", keywords))), label)
+    for label, keywords in [(PREPARATION, PREPARATION_KEYWORDS), *STAGE_KEYWORDS]:
+        stage = stage.when(plain.rlike("|".join(keywords)), label)
     return stage.otherwise(STAGE_OTHER)
 
 

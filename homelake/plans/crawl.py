@@ -59,20 +59,13 @@ class Selectors:
     )
 
 
-def field_items(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
-    """Adds the page's content and its item lists, each found once per page."""
-    s = selectors
-    return pages.withColumn("_doc", H.content("html")).withColumns(
-        {
-            "_specs": H.labelled_items(
-                "_doc", H.element("div", s.spec_item), H.element("span", s.spec_title), H.element("span", s.spec_value)
-            ),
-            "_cards": H.icon_items("_doc", H.element("span", s.card_item), H.element("span", s.card_value)),
-            "_posts": H.labelled_items(
-                "_doc", H.element("div", *s.post_item), H.element("span", s.post_title), H.element("span", s.post_value)
-            ),
-        }
-    )
+def _items(s: Selectors) -> dict[str, H.Items]:
+    spans = {name: H.element("span", name) for name in (s.spec_title, s.spec_value, s.card_value, s.post_title, s.post_value)}
+    return {
+        "specs": H.Items(H.element("div", s.spec_item), spans[s.spec_value], spans[s.spec_title]),
+        "cards": H.Items(H.element("span", s.card_item), spans[s.card_value]),
+        "posts": H.Items(H.element("div", *s.post_item), spans[s.post_value], spans[s.post_title]),
+    }
 
 
 def listing_records(
@@ -83,16 +76,20 @@ def listing_records(
     A page without content gives a record with only its addresses, marked ``empty_item``.
     """
     s = selectors
+    heads = {
+        "title": H.element("h1", exact_class=s.title_class),
+        "address": H.element("span", exact_class=s.address_class),
+        "project_name": H.element("div", exact_class=s.project_class),
+    }
+    found = pages.withColumn("_page", H.fields("html", heads, _items(s)))
     texts = {
-        "title": H.first_text("_doc", H.element("h1", exact_class=s.title_class)),
-        "address": H.first_text("_doc", H.element("span", exact_class=s.address_class)),
-        "project_name": H.first_text("_doc", H.element("div", exact_class=s.project_class)),
-        **{c: H.value_text("_specs", label) for c, label in s.spec_labels.items()},
-        **{c: H.value_text("_cards", f" {icon} ") for c, icon in s.card_icons.items()},
-        **{c: H.value_text("_posts", label, skip_blank=True) for c, label in s.post_labels.items()},
+        **{c: H.trimmed(f"_page.{c}") for c in heads},
+        **{c: H.value_text("_page.specs", label) for c, label in s.spec_labels.items()},
+        **{c: H.value_text("_page.cards", f" {icon} ") for c, icon in s.card_icons.items()},
+        **{c: H.value_text("_page.posts", label, skip_blank=True) for c, label in s.post_labels.items()},
     }
     # Found once here, tested for blanks in the next projection.
-    found = field_items(pages, s).withColumns({f"_t_{c}": text for c, text in texts.items()})
+    found = found.withColumns({f"_t_{c}": text for c, text in texts.items()})
     blank_when_absent = [*s.spec_labels, *s.card_icons]
     empty = is_blank("html")
     values = {c: H.or_default(f"_t_{c}", "" if c in blank_when_absent else None) for c in texts}
@@ -110,10 +107,9 @@ def listing_links(
     """Links of a page in order, made absolute; links to other places than ``base`` are dropped."""
     found = pages.select(
         *keep, F.col("url").alias("main_page_url"), base.alias("_base"),
-        F.posexplode(H.hrefs(H.content("html"), link_class)).alias("position", "href"),
+        F.posexplode(H.links("html", "url", link_class)).alias("position", "subpage_url"),
     )
-    links = found.withColumn("subpage_url", H.absolute_url("href", "main_page_url"))
-    return links.where(F.col("subpage_url").startswith(F.col("_base"))).drop("href", "_base")
+    return found.where(F.col("subpage_url").startswith(F.col("_base"))).drop("_base")
 
 
 def seed_pages(spark: SparkSession, base: str, start: int, end: int) -> DataFrame:
@@ -132,16 +128,14 @@ def items_per_page(seeds: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def page_payloads(seeds: DataFrame, items: DataFrame, columns: list[str], unique: str, chunk_size: int = 200) -> DataFrame:
+def page_payloads(counts: DataFrame, items: DataFrame, columns: list[str], unique: str, chunk_size: int = 200) -> DataFrame:
     """Nested payloads (main_page_url, chunk, subpage_count, subpage_data) of about ``chunk_size`` items.
 
     A page with many items is spread over many payload rows by a hash of ``unique``, so no task
     gathers a whole page; ``subpage_count`` is the page's full count on each of its rows. A seed
-    page without items has one row with an empty list.
+    page without items has one row with an empty list. ``counts`` are those of ``items_per_page``,
+    best from a written table: then Spark knows their size, and the items are derived once.
     """
-    counts = items_per_page(seeds, items)
-    # Counts are one row per page: by their size at run time Spark joins them without moving the
-    # items, or splits a page that is too large for one task.
     chunks = F.greatest(F.lit(1), F.ceil(F.col("subpage_count") / chunk_size))
     placed = items.join(counts, "main_page_url").withColumn("chunk", F.pmod(F.xxhash64(unique), chunks))
     lists = placed.groupBy("main_page_url", "chunk", "subpage_count").agg(

@@ -77,9 +77,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for per-row work on input of few splits; large input is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Use all cores for per-row work on a table that is less than one input split.
+
+    At most the bytes of a split are exchanged; any larger table is read in as many tasks as it
+    has splits.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size <= split else df
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,14 +97,48 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _varied(plain: F.Column, nested: F.Column, referenced: F.Column) -> F.Column:
+    """Three ways of writing the same block, by the row's number."""
+    way = F.col("ingest_seq") % 3
+    return F.coalesce(F.when(way == 0, plain).when(way == 1, nested).otherwise(referenced), F.lit(""))
+
+
 def _item(tag_class: str, title: str, value: str, label: str, name: str) -> F.Column:
-    """One labelled block, present only where the column has a value."""
-    block = F.concat(
+    """One labelled block, present only where the column has a value.
+
+    Written plainly; with four levels of the same tag, other quotes and another order of
+    attributes; and with character references and an item that has a label but no value before it.
+    """
+    plain = F.concat(
         F.lit(f'<div class="{tag_class}"><span class="{title}">{label}</span><span class="{value}">\n'),
         _escaped(name),
         F.lit("</span></div>"),
     )
-    return F.coalesce(block, F.lit(""))
+    nested = F.concat(
+        F.lit(
+            f"<DIV data-x='a>b' class='{tag_class}'><div><div><div><span id=1 class={title}>{label}</span></div></div>"
+            f"<div><span data-y=\"it's\" class='{value}'><span><span>"
+        ),
+        _escaped(name),
+        F.lit("</span></span></span></div></div></DIV>"),
+    )
+    referenced = F.concat(
+        F.lit(f'<div class="{tag_class}"><span class="{title}">{label}</span><br></div>'),
+        F.lit(f'<div class="{tag_class}"><span class="{title}">{_references(label)}</span><span class="{value}">&nbsp;'),
+        _referenced(name),
+        F.lit("</span></div>"),
+    )
+    return _varied(plain, nested, referenced)
+
+
+# The same letters as named, decimal and hexadecimal references.
+_REFERENCES = [("ò", "&ograve;"), ("đ", "&#273;"), ("ấ", "&#x1EA5;"), ("Đ", "&#272;"), ("ả", "&#x1ea3;")]
+
+
+def _references(text: str) -> str:
+    for letter, reference in _REFERENCES:
+        text = text.replace(letter, reference)
+    return text
 
 
 def _escaped(name: str) -> F.Column:
@@ -109,6 +148,13 @@ def _escaped(name: str) -> F.Column:
     return text
 
 
+def _referenced(name: str) -> F.Column:
+    text = _escaped(name)
+    for letter, reference in _REFERENCES:
+        text = F.replace(text, F.lit(letter), F.lit(reference))
+    return text
+
+
 def listing_pages(rows: DataFrame, selectors) -> DataFrame:
     """Stored detail pages (main_page_url, url, html) written from listing rows.
 
@@ -127,9 +173,10 @@ def listing_pages(rows: DataFrame, selectors) -> DataFrame:
     for name, label in selectors.spec_labels.items():
         parts.append(_item(f"a {selectors.spec_item} b", selectors.spec_title, selectors.spec_value, label, name))
     parts.append(
-        F.coalesce(
+        _varied(
             F.concat(F.lit(f'<div class="{selectors.project_class}"><b>'), _escaped("project_name"), F.lit("</b></div>")),
-            F.lit(""),
+            F.concat(F.lit(f"<div class='{selectors.project_class}'><div><div><div>"), _escaped("project_name"), F.lit("</div></div></div></div>")),
+            F.concat(F.lit(f'<div class="{selectors.project_class}">'), _referenced("project_name"), F.lit("</div>")),
         )
     )
     for name, icon in selectors.card_icons.items():

@@ -8,18 +8,32 @@ def one(spark, html, column):
     return spark.createDataFrame([(html,)], "html string").select(column.alias("v")).first().v
 
 
+def text_of(spark, page, *selector, **how):
+    return one(spark, page, H.text_or_null(H.fields("html", {"t": H.element(*selector, **how)})["t"]))
+
+
 def test_first_text(spark):
     page = "<!-- <h1>no</h1> --><script>'<h1>no</h1>'</script><H1 id=1>\n a <b>&amp;lt;</b>&nbsp;</H1><h1>second</h1>"
-    assert one(spark, page, H.text_or_null(H.content("html"), H.element("h1"))) == "a &lt;"
-    assert one(spark, "<h1> &nbsp; </h1><h1>second</h1>", H.text_or_null("html", H.element("h1"))) is None
-    assert one(spark, "<p>x</p>", H.text_or_null("html", H.element("h1"))) is None
+    assert text_of(spark, page, "h1") == "a &lt;"
+    assert text_of(spark, "<h1> &nbsp; </h1><h1>second</h1>", "h1") is None
+    assert text_of(spark, "<p>x</p>", "h1") is None
+    assert text_of(spark, None, "h1") is None and text_of(spark, "", "h1") is None
 
 
 def test_class_names_are_whole_words(spark):
     page = '<div class="item-title">a</div><div class="x item y">b<div>c</div>d</div>'
-    assert one(spark, page, H.first_text("html", H.element("div", "item"))) == "bcd"
-    assert one(spark, page, H.first_text("html", H.element("div", exact_class="item"))) is None
-    assert one(spark, page, H.first_text("html", H.element("div", "item", "y"))) == "bcd"
+    assert text_of(spark, page, "div", "item") == "bcd"
+    assert text_of(spark, page, "div", exact_class="item") is None
+    assert text_of(spark, page, "div", "item", "y") == "bcd"
+    assert text_of(spark, "<div class=a.b>1</div><div class='a+b'>2</div>", "div", "a+b") == "2"
+
+
+def test_any_depth_and_all_references(spark):
+    page = '<div class="i"><div><div>x<div>y</div></div></div>z</div><div class="i">no</div>'
+    assert text_of(spark, page, "div", "i") == "xyz"
+    assert text_of(spark, "<p>Ph&ograve;ng &#273; &#x1EA5; &lt;b&gt; &copy &nosuch;</p>", "p") == "Phòng đ ấ <b> © &nosuch;"
+    assert text_of(spark, "<div class=i><p>open<b>too</div>after", "div", "i") == "opentoo"
+    assert text_of(spark, "a < b <br> <i>c</i> </u> d", "i") == "c"
 
 
 SPEC = '<div class="i"><span class="t">{}</span>{}</div>'
@@ -31,8 +45,8 @@ def items(*pairs):
 
 
 def labelled(page, spark, **how):
-    found = H.labelled_items("html", H.element("div", "i"), H.element("span", "t"), H.element("span", "v"))
-    return one(spark, page, H.value_of(found, "Giá", **how))
+    items = H.Items(H.element("div", "i"), H.element("span", "v"), H.element("span", "t"))
+    return one(spark, page, H.value_of(H.fields("html", items={"x": items})["x"], "Giá", **how))
 
 
 def test_first_label_with_a_value_element_decides(spark):
@@ -47,19 +61,19 @@ def test_first_label_with_a_value_element_decides(spark):
 def test_icon_items(spark):
     page = ('<span class="c"><i class="a icon-1--sm"></i><span class="v">one</span></span>'
             '<span class="c"><i class="a icon-1"></i><span class="v"> two </span></span>')
-    cards = H.icon_items("html", H.element("span", "c"), H.element("span", "v"))
-    assert one(spark, page, H.value_of(cards, " icon-1 ")) == "two"
+    cards = H.Items(H.element("span", "c"), H.element("span", "v"))
+    assert one(spark, page, H.value_of(H.fields("html", items={"x": cards})["x"], " icon-1 ")) == "two"
 
 
 def test_links(spark):
     page = ('<a href="/a?x=1&amp;y=2" class="l">1</a><a class="m l" href=\'https://h.vn/b\'>2</a><a class="l" href="https://o.vn/c">3</a>'
             '<a class="ll" href="/d">4</a><a class="l" href="/a?x=1&amp;y=2">5</a><a class="l">6</a><a class="l" href="//h.vn/e">7</a>'
-            '<a class="l" href="f.html">8</a><a class="l" href="#g">9</a><a class="l" href="mailto:x@h.vn">10</a><!--<a class="l" href="/no">-->')
+            '<a class="l" href="f.html">8</a><a class="l" href="#g">9</a><a class="l" href="mailto:x@h.vn">10</a><a href="/a\'b" class=l>11</a><a class=l href=/d>12</a><a class=\'l\' href="/x/../e">13</a><!--<a class="l" href="/no">-->')
     pages = spark.createDataFrame([("https://h.vn/list/p1?q=1", page)], "url string, html string")
     links = crawl.listing_links(pages, F.lit("https://h.vn"), "l").orderBy("position")
     assert [r.subpage_url for r in links.collect()] == [
         "https://h.vn/a?x=1&y=2", "https://h.vn/b", "https://h.vn/a?x=1&y=2", "https://h.vn/e", "https://h.vn/list/f.html",
-        "https://h.vn/list/p1?q=1#g",
+        "https://h.vn/list/p1?q=1#g", "https://h.vn/a'b", "https://h.vn/d", "https://h.vn/e",
     ]
 
 
@@ -68,7 +82,7 @@ def test_payloads_are_split_and_whole(spark):
         F.when(F.col("id") < 900, "u/p0").when(F.col("id") < 990, "u/p1").otherwise("elsewhere").alias("main_page_url"),
         F.col("id").alias("post_id"),
     )
-    payloads = crawl.page_payloads(crawl.seed_pages(spark, "u/", 0, 2), items, ["post_id"], "post_id", chunk_size=100)
+    payloads = crawl.page_payloads(crawl.items_per_page(crawl.seed_pages(spark, "u/", 0, 2), items), items, ["post_id"], "post_id", chunk_size=100)
     rows = payloads.collect()
     assert {r.main_page_url: r.subpage_count for r in rows} == {"u/p0": 900, "u/p1": 90, "u/p2": 0}
     assert max(len(r.subpage_data) for r in rows) < 200
