@@ -61,6 +61,8 @@ def read_rows(
     if order_by:
         out = out.orderBy(order_by)
     if offset:
+        if not order_by:
+            raise ValueError("an offset needs an order")
         out = out.offset(offset)
     if limit:
         out = out.limit(limit)
@@ -96,6 +98,23 @@ def page_of(df: DataFrame, page: int, page_size: int, order_by: list[str], colum
     return out.select(*columns) if columns else out
 
 
+def rows_after(df: DataFrame, order_by: list[str], after: list | None, rows: int) -> DataFrame:
+    """The ``rows`` rows that follow the key values ``after`` in a total order without nulls.
+
+    Unlike a page number this costs the same however deep: the condition is pushed to the scan,
+    and each task gives at most ``rows`` rows.
+    """
+    if not order_by:
+        raise ValueError("a page needs an order")
+    if after is not None:
+        beyond, equal = F.lit(False), F.lit(True)
+        for name, value in zip(order_by, after, strict=True):
+            beyond = beyond | (equal & (F.col(name) > F.lit(value)))
+            equal = equal & (F.col(name) == F.lit(value))
+        df = df.where(F.col(order_by[0]) >= F.lit(after[0])).where(beyond)
+    return df.orderBy(*order_by).limit(rows)
+
+
 def page_info(page_rows: DataFrame, page: int, page_size: int) -> DataFrame:
     return page_rows.agg(
         F.lit(page).alias("page"), F.lit(page_size).alias("page_size"), F.count("*").alias("rows_in_page")

@@ -19,8 +19,23 @@ def latest_per_key(df: DataFrame, key: str, newest_first: list[Column]) -> DataF
 
 
 def newest_listing(df: DataFrame, timestamp: str = "store_staging_at", key: str = "subpage_url") -> DataFrame:
-    """Newest row per URL; equal times go to the later input row, a missing time loses."""
-    return latest_per_key(df, key, [F.col(timestamp).desc_nulls_last(), F.col("ingest_seq").desc()])
+    """Newest row per URL; equal times go to the later input row, a missing time loses.
+
+    Input order is by the file's time (upper bits of ``ingest_seq``), its path where known, and
+    the place in it: unique, and the same however files are dealt to tasks.
+    """
+    path = [F.col("source_file").desc_nulls_last()] if "source_file" in df.columns else []
+    order = [F.shiftright("ingest_seq", 31).desc(), *path, F.col("ingest_seq").desc()]
+    return latest_per_key(df, key, [F.col(timestamp).desc_nulls_last(), *order])
+
+
+def _digest(columns: list[str]) -> Column:
+    parts = []
+    for c in columns:
+        # The length in front keeps ("ab", "c") apart from ("a", "bc"), and null from "".
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat_ws("|", *parts), 256)
 
 
 def distinct_rows(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -28,15 +43,19 @@ def distinct_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def distinct_values(df: DataFrame, columns: list[str], outputs: dict[str, Column]) -> DataFrame:
+    """``outputs`` for each distinct combination of ``columns``, told apart by a digest.
+
+    Outputs depend on the columns alone and are computed before the exchange, so that no whole
+    value is moved.
+    """
+    slim = df.select(_digest(columns).alias("_digest"), *[c.alias(n) for n, c in outputs.items()])
+    return slim.groupBy("_digest").agg(*[F.first(n).alias(n) for n in outputs]).drop("_digest")
+
+
 def drop_copies(df: DataFrame, columns: list[str], first_by: list[Column]) -> DataFrame:
     """Keep the first row of each set of rows that agree on ``columns``; other columns stay."""
-    parts = []
-    for c in columns:
-        # The length in front keeps ("ab", "c") apart from ("a", "bc"), and null from "".
-        text = F.col(c).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    digest = F.sha2(F.concat_ws("|", *parts), 256)
-    return _first_per_key(df.withColumn("_digest", digest), ["_digest"], first_by).drop("_digest")
+    return _first_per_key(df.withColumn("_digest", _digest(columns)), ["_digest"], first_by).drop("_digest")
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

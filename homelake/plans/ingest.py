@@ -5,36 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import FILE_LOG, LOADED
+from ..schemas import FILE_LOG
 from ..sources.lake import Lake
-from ..sources.raw_files import file_log_rows, list_files, new_files, scan_csv, stamp
+from ..sources.raw_files import file_log_rows, list_files, move_files, new_files, scan_csv, stamp
 
+#: Files of one load: what passes through the driver at once.
+BATCH_FILES = 1000
 
-def load_rows(lake: Lake, scanned: DataFrame, load: str) -> None:
-    """Write one load in one pass; the views of ``Lake`` tell good lines from broken ones."""
-    lake.append(stamp(scanned), "bronze", "staging", load)
 
+def load_files(lake: Lake, files: DataFrame, load: str, archive: str | None = None, failed: str | None = None) -> DataFrame:
+    """One load of a bounded number of files; gives their log rows.
 
-def ingest(lake: Lake, folder: str, load: str) -> DataFrame:
+    A load that is committed is not done again. Finished files go to ``archive`` and files without
+    a readable row to ``failed``, if given.
+    """
+    logged = lake.path("bronze", "processed_files_log", f"load={load}")
+    if not lake.is_committed(load):
+        paths = [row.file_path for row in files.select("file_path").collect()]
+
+        def log(rows: DataFrame) -> None:
+            counts = file_log_rows(files, rows.where("corrupt_record is null"))
+            lake.append(counts, "bronze", "processed_files_log", load)
+
+        lake.add_load(stamp(scan_csv(lake.spark, paths)), load, log)
+    done = lake.read_path(logged, FILE_LOG)
+    for folder, status in ((archive, "success"), (failed, "failed")):
+        if folder:
+            move_files(lake.spark, [r.file_path for r in done.where(F.col("status") == status).collect()], folder)
+    return done
+
+
+def ingest(
+    lake: Lake, folder: str, load: str, batch_files: int = BATCH_FILES, archive: str | None = None, failed: str | None = None
+) -> DataFrame:
     """Load all files of ``folder`` that the file log does not have; gives one summary row.
 
-    Only file names pass through the driver. The log is written last, so a load that stopped
-    half-way is done again under the same name.
+    Files are dealt by a hash of their path into batches of about ``batch_files``, each a load of
+    its own. A name that a committed load has gets a number. The logs are written last, so files
+    of a load that stopped half-way are simply found again.
     """
-    files = new_files(list_files(lake.spark, folder), lake.file_log())
-    paths = [row.file_path for row in files.select("file_path").toLocalIterator()]
-    if not paths:
-        return lake.spark.createDataFrame(
-            [("no_files", 0, 0, 0)], "status string, processed long, failed long, total long"
-        )
-    load_rows(lake, scan_csv(lake.spark, paths), load)
-    loaded = lake.read_path(lake.path("bronze", "staging", f"load={load}"), LOADED)
-    log = file_log_rows(files, loaded.where("corrupt_record is null"))
-    lake.append(log, "bronze", "processed_files_log", load)
-    done = lake.read_path(lake.path("bronze", "processed_files_log", f"load={load}"), FILE_LOG)
-    return done.agg(
-        F.lit("completed").alias("status"),
-        F.count_if(F.col("status") == "success").alias("processed"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.count("*").alias("total"),
-    )
+    found = lake.path("bronze", "found_files", lake.new_load(load))
+    new_files(list_files(lake.spark, folder), lake.file_log()).write.mode("overwrite").parquet(found)
+    files = lake.spark.read.parquet(found)
+    batches = -(-files.count() // batch_files)
+    done = []
+    for n in range(batches):
+        part = files.where(F.pmod(F.xxhash64("file_path"), F.lit(batches)) == n)
+        if not part.isEmpty():
+            rows = load_files(lake, part, lake.new_load(load), archive, failed)
+            done.append(rows.groupBy("status").count().collect())
+    counts = {s: sum(r["count"] for rows in done for r in rows if r["status"] == s) for s in ("success", "failed")}
+    row = ("completed" if done else "no_files", counts["success"], counts["failed"], sum(counts.values()))
+    return lake.spark.createDataFrame([row], "status string, processed long, failed long, total long")

@@ -1,6 +1,6 @@
 """Bronze to silver: one incremental run.
 
-1. Clean the new rows and write them once, split into good and rejected (no shuffle).
+1. Clean the rows of new loads and write them once, split into good and rejected (no shuffle).
 2. Keep the newest good row per URL (one shuffle by URL) and write it as the run's changes.
 3. Append the run's row to the run log: watermark and counts. Only now is the run visible.
 
@@ -30,7 +30,7 @@ def routed(staging: DataFrame) -> DataFrame:
         for c, f in zip(clean_columns(F.current_timestamp()), schemas.CLEAN.fields)
     ]
     raw_side = [
-        (F.col(n) if n in ("created_at", "ingest_seq") else F.when(~good, F.col(n))).alias(n)
+        (F.col(n) if n in ("created_at", "ingest_seq", "source_file") else F.when(~good, F.col(n))).alias(n)
         for n in schemas.STAGING.fieldNames()
     ]
     return cleaned.select(
@@ -58,7 +58,7 @@ def refine_rows(lake: Lake, staging: DataFrame, run: int, feed: str = "refine")
     rows = lake.read_path(folder, schemas.ROUTED)
 
     good = rows.where("is_valid").select(
-        *[F.col(f"v_{c}").alias(c) for c in schemas.CLEAN_COLUMNS], "ingest_seq"
+        *[F.col(f"v_{c}").alias(c) for c in schemas.CLEAN_COLUMNS], "ingest_seq", "source_file"
     )
     changes = lake.path("silver", "clean_changes", f"run={run}")
     newest_listing(good).select(*schemas.CLEAN_COLUMNS).write.mode("overwrite").parquet(changes)
@@ -84,9 +84,16 @@ def _run_row(rows: DataFrame, changes: DataFrame, run: int, state: RunState, fee
 
 
 def refine(lake: Lake) -> DataFrame:
-    """Process staging rows newer than the watermark, if any; gives the newest run-log row."""
-    state = lake.state()
-    new_rows = lake.staging_after(state.last_micros)
-    if not new_rows.isEmpty():
-        refine_rows(lake, new_rows, state.run + 1)
+    """Process the loads that no run has read yet, if any; gives the newest run-log row.
+
+    Loads are told apart by name, whatever their times: one that was committed late is read too.
+    """
+    loads = lake.unrefined()
+    if not loads.isEmpty():
+        run = lake.state().run + 1
+        path = lake.path("silver", "run_loads", f"run={run}")
+        loads.write.mode("overwrite").parquet(path)
+        wanted = lake.read_path(path, schemas.RUN_LOADS)
+        rows = lake.loaded().join(wanted, "load", "left_semi").where("corrupt_record is null")
+        refine_rows(lake, rows.select(*schemas.STAGING.fieldNames()), run)
     return lake.run_log().orderBy(F.col("run").desc(), F.col("base_run").desc()).limit(1)

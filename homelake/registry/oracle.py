@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.labels import LEGAL_KEYWORDS, PROPERTY_TYPES, STAGE_KEYWORDS
+from ..functions.labels import LEGAL_KEYWORDS, PREPARATION, PREPARATION_KEYWORDS, PROPERTY_TYPES, STAGE_KEYWORDS
 from ..operators.missing import NULL_TOKENS
 from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS, REQUIRED_COLUMNS
 from ..sources.sample_tables import LISTING_SQL
@@ -71,8 +71,8 @@ def count_field(c: str) -> str:
 
 
 _stage = " ".join(
-    f"when regexp_matches(status, '{'|'.join(k.strip() for k in keys.split(','))}') then '{label}'"
-    for label, keys in STAGE_KEYWORDS
+    f"when regexp_matches(status, '{'|'.join(keys)}') then '{label}'"
+    for label, keys in [(PREPARATION, PREPARATION_KEYWORDS), *STAGE_KEYWORDS]
 )
 _type = " ".join(f"when contains(lower(subpage_url), '{p}') then '{t}'" for p, t in PROPERTY_TYPES)
 _complete = " and ".join(f"not ({empty(c)})" for c in REQUIRED_COLUMNS)
@@ -174,6 +174,9 @@ _MERGED = f"""{_ALL}, {_GOOD},
   late as (select * from good where store_staging_at >= timestamp '1999-01-01' qualify {_NEWEST} = 1),
   merged as (select * from late union all
     select * from early where subpage_url not in (select subpage_url from late))"""
+_MERGED_LATE = _MERGED.replace(
+    "select * from late union all", "select * from early union all"
+).replace("select * from early where subpage_url not in (select subpage_url from late)", "select * from late where subpage_url not in (select subpage_url from early)")
 _AT_TEXT = ", ".join(
     "strftime(store_staging_at, '%Y-%m-%d %H:%M:%S') as store_staging_at" if c == "store_staging_at" else c for c in _CLEAN
 )
@@ -198,7 +201,7 @@ _TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
 def _decode(x: str) -> str:
     for entity, char in [
         ("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"),
-        ("&apos;", "''''"), ("&amp;", "'&'"),
+        ("&apos;", "''''"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;", "'&'"),
     ]:
         x = f"replace({x}, '{entity}', {char})"
     return x
@@ -226,6 +229,9 @@ _PAGE_TEXT = {
 }
 _PAGE_SELECT = ", ".join(_PAGE_TEXT.get(c, f"coalesce(trim({c}), '') as {c}") for c in RAW_COLUMNS)
 
+_RAW_NULLED = f"""with {LISTINGS} select {", ".join(
+        f"case when {c} in ({_TOKENS}) then null else {c} end as {c}" for c in RAW_COLUMNS)} from listings"""
+
 ORACLE = {
     "page_number": f"{_ALL} select ingest_seq, main_page_url, page_number from cleaned",
     "address_parse": f"""{_ALL} select ingest_seq, e_address as error, {", ".join(
@@ -268,8 +274,7 @@ ORACLE = {
         count(*) filter (error_message is null)
           - count(distinct subpage_url) filter (error_message is null) as duplicate_rows from cleaned""",
     "streamed_clean": f"{_ALL}, {_GOOD} select {_AT_TEXT} from (select * from good qualify {_NEWEST} = 1)",
-    "csv_round_trip": f"""with {LISTINGS} select {", ".join(
-        f"case when {c} in ({_TOKENS}) then null else {c} end as {c}" for c in RAW_COLUMNS)} from listings""",
+    "csv_round_trip": _RAW_NULLED,
     "file_log": f"""with {LISTINGS} select 'success' as status, '2025-10-27 09:48:51' as file_timestamp,
         count(*) as record_count from listings""",
     "null_tokens": """select p_partkey, case when p_partkey % 3 = 0 or p_partkey % 5 = 0 then null
@@ -323,9 +328,32 @@ ORACLE = {
           from range(0, 60) r(i))
         select s.main_page_url, count(l.ingest_seq) as subpage_count from seeds s
         left join listings l on l.main_page_url = s.main_page_url group by 1""",
-    "payload_rows": f"""with {LISTINGS} select {_RAW} from listings
-        where cast(regexp_extract(main_page_url, '([0-9]+)$', 1) as integer) >= 5""",
+    "payload_rows": f"with {LISTINGS} select {_RAW} from listings",
+    "unknown_parents": f"""with {LISTINGS} select main_page_url, count(*) as n from listings
+        where cast(regexp_extract(main_page_url, '([0-9]+)$', 1) as integer) < 5 group by 1""",
     "column_labels": """select event_id, 'Missing ' || upper(event_type[1]) || event_type[2:] || ' ' || user_id as label
         from events""",
+    "late_load": f"{_MERGED_LATE} select {_AT_TEXT} from merged",
+    "error_table": f"""{_ALL} select ingest_seq, subpage_url, error_message, 'pending' as retry_status
+        from cleaned where error_message is not null""",
+    "retry_update": f"""{_ALL} select ingest_seq, subpage_url, error_message,
+        case when ingest_seq < 500 then 'resolved' when ingest_seq < 2000 then 'failed' else 'pending' end as retry_status
+        from cleaned where error_message is not null""",
+    "error_delete": f"""{_ALL} select ingest_seq, subpage_url, error_message, 'pending' as retry_status
+        from cleaned where error_message is not null and error_message not like 'Thi%'""",
+    "generic_insert": "select * from orders where o_orderstatus is not null",
+    "ingest_two_files": _RAW_NULLED,
+    "ingest_streams": _RAW_NULLED,
+    "new_files": f"with {LISTINGS} select '2025-10-28' as day, count(*) as n from listings where ingest_seq % 2 = 1",
+    "last_processed": f"with {LISTINGS} select true as is_newest, count(*) as record_count from listings",
+    "csv_by_header": f"""with {LISTINGS} select {", ".join(
+        f"case when {c} in ({_TOKENS}){' or ingest_seq % 3 = 2' if c == 'legal' else ''} then null else {c} end as {c}"
+        for c in RAW_COLUMNS)} from listings""",
+    "csv_latest": f"""with {LISTINGS} select subpage_url, post_id from listings
+        qualify row_number() over (partition by subpage_url order by ingest_seq desc) = 1""",
+    "page_after_key": """select * from orders where o_totalprice > 100000 or (o_totalprice = 100000 and o_orderkey > 0)
+        order by o_totalprice, o_orderkey limit 50""",
+    "sample_row": "select count(*) as n, count(o_orderkey) as n_keys from (select * from orders limit 1)",
+    "preview": "select count(*) as n, count(distinct o_orderkey) as n_keys from (select * from orders limit 5)",
 }
 ORACLE = {name: sql.replace("$$$$", "''").replace("$$-$$", "'-'").replace("$$ $$", "' '") for name, sql in ORACLE.items()}

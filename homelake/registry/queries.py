@@ -15,13 +15,14 @@ from ..operators import conditions as C
 from ..operators import keyed, missing, reshape
 from ..plans import clean as P
 from ..plans import crawl, quality
-from ..plans.refine import refine, refine_rows
-from ..schemas import CLEAN_COLUMNS, RAW, RAW_COLUMNS, REQUIRED_COLUMNS, STAGING
+from ..plans.ingest import ingest
+from ..plans.refine import refine, refine_rows, routed
+from ..schemas import CLEAN_COLUMNS, RAW, RAW_COLUMNS, REQUIRED_COLUMNS, ROUTED, STAGING
 from ..sources import raw_files
 from ..sources.lake import Lake
 from ..sources.sample_tables import listing_pages, listings, spread, table
 from ..sources.work_folder import work_folder
-from ..streaming.jobs import refine_stream
+from ..streaming.jobs import ingest_stream, refine_stream
 
 CUT = "1999-01-01"
 BASE_URL = "https://example.org/nha-dat-ban/"
@@ -173,18 +174,19 @@ def latest_per_url(spark, folder):
 
 def upsert_merge(spark, folder):
     """Rows created from the cut on, newest per URL, put into those before it."""
-    good = clean_rows(spark, folder)
-    at = F.col("store_staging_at")
-    cut = F.lit(CUT).cast("timestamp_ntz")
-    target = keyed.newest_listing(good.where(at < cut))
-    return keyed.upsert(target, keyed.newest_listing(good.where(at >= cut)), "subpage_url")
+    rows = listings(spark, folder)
+    at, cut = F.col("created_at"), F.lit(CUT).cast("timestamp_ntz")
+    newest = lambda part: keyed.newest_listing(P.good_rows(P.clean(part)))
+    # Written once: its keys and its rows are both read by the merge.
+    path = work_folder(spark, "incoming")
+    newest(rows.where(at >= cut)).write.parquet(path)
+    return keyed.upsert(newest(rows.where(at < cut)), spark.read.parquet(path), "subpage_url")
 
 
 def exact_dedup(spark, folder):
     docs = table(spark, folder, "documents")
-    return keyed.distinct_rows(docs, ["text"]).select(
-        F.md5(F.encode("text", "UTF-8")).alias("text_md5"), F.length("text").alias("n_chars")
-    )
+    outputs = {"text_md5": F.md5(F.encode("text", "UTF-8")), "n_chars": F.length("text")}
+    return keyed.distinct_values(docs, ["text"], outputs)
 
 
 def first_copy(spark, folder):
@@ -225,11 +227,60 @@ def two_runs(spark, folder):
     rows = _staging(spark, folder)
     cut = F.lit(CUT).cast("timestamp")
     for load, part in enumerate([rows.where(F.col("created_at") < cut), rows.where(F.col("created_at") >= cut)]):
-        lake.append(part, "bronze", "staging", f"batch-{load}")
+        lake.add_load(part, f"batch-{load}")
+        refine(lake)
+    return _comparable(lake.clean())
+
+
+def late_load(spark, folder):
+    """A load of older rows committed after a run over newer ones: it is in the clean table."""
+    lake = Lake(spark, work_folder(spark, "late-load"))
+    rows = _staging(spark, folder)
+    cut = F.lit(CUT).cast("timestamp")
+    for load, part in enumerate([rows.where(F.col("created_at") >= cut), rows.where(F.col("created_at") < cut)]):
+        lake.add_load(part, f"batch-{load}")
         refine(lake)
     return _comparable(lake.clean())
 
 
+def _refined_errors(spark, folder, purpose) -> Lake:
+    lake = Lake(spark, work_folder(spark, purpose))
+    refine_rows(lake, _staging(spark, folder), 1)
+    return lake
+
+
+_ERROR_COLUMNS = ["ingest_seq", "subpage_url", "error_message", "retry_status"]
+
+
+def error_table(spark, folder):
+    """Rejected rows as one silver run has written them."""
+    return _refined_errors(spark, folder, "errors").errors().select(*_ERROR_COLUMNS)
+
+
+def retry_update(spark, folder):
+    """The error table after its retry states were set twice for some rows."""
+    lake = _refined_errors(spark, folder, "retries")
+    lake.change_errors({"ingest_seq": {"lt": 2000}}, "failed")
+    lake.change_errors({"ingest_seq": {"lt": 500}, "retry_status": "failed"}, "resolved")
+    return lake.errors().select(*_ERROR_COLUMNS)
+
+
+def error_delete(spark, folder):
+    """The error table after the rows of one message were deleted."""
+    lake = _refined_errors(spark, folder, "deleted")
+    lake.change_errors({"error_message": {"like": "Thi%"}}, delete=True)
+    return lake.errors().select(*_ERROR_COLUMNS)
+
+
+def generic_insert(spark, folder):
+    """Rows appended to a table in two inserts without a load name."""
+    lake = Lake(spark, work_folder(spark, "inserted"))
+    orders = table(spark, folder, "orders")
+    for part in (orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'")):
+        lake.append(part, "bronze", "orders")
+    return lake.read("bronze", "orders", orders.schema)
+
+
 def run_summary(spark, folder):
     """Counts and watermark of one silver run over all rows."""
     lake = Lake(spark, work_folder(spark, "one-run"))
@@ -271,6 +322,69 @@ def file_log(spark, folder):
     )
 
 
+def _exported(spark, folder, purpose, columns=RAW_COLUMNS) -> tuple[Lake, str]:
+    """A new lake, and a folder with the listings of each half exported under its own name."""
+    root = work_folder(spark, purpose)
+    rows = listings(spark, folder)
+    for n, name in enumerate(["first_20251027_094851", "second_20251028_094851"]):
+        raw_files.export_csv(rows.where(F.col("ingest_seq") % 2 == n), f"{root}/raw/{name}")
+    return Lake(spark, f"{root}/lake"), f"{root}/raw"
+
+
+def ingest_two_files(spark, folder):
+    """Two folders ingested under the same load name: every row of both is in staging."""
+    lake, raw = _exported(spark, folder, "two-files")
+    ingest(lake, f"{raw}/first_20251027_094851", "day")
+    ingest(lake, raw, "day", batch_files=2)
+    return lake.staging().select(*RAW_COLUMNS)
+
+
+def ingest_streams(spark, folder):
+    """Two streams with a checkpoint each into the same lake, the second over files of both."""
+    lake, raw = _exported(spark, folder, "two-streams")
+    for n, part in enumerate([f"{raw}/first*", f"{raw}/*"]):
+        ingest_stream(lake, part, f"{raw}/../checkpoint-{n}").awaitTermination()
+    return lake.staging().select(*RAW_COLUMNS)
+
+
+def new_files(spark, folder):
+    """Rows of the files that the log does not have."""
+    lake, raw = _exported(spark, folder, "new-files")
+    ingest(lake, f"{raw}/first_20251027_094851", "day")
+    files = raw_files.new_files(raw_files.list_files(spark, raw), lake.file_log())
+    rows = raw_files.scan_csv(spark, f"{raw}/*")
+    fresh = rows.join(files.select(F.col("file_path").alias("source_file")), "source_file", "left_semi")
+    return fresh.groupBy(F.date_format("file_timestamp", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+def last_processed(spark, folder):
+    """The newest entry of the file log, against the log itself."""
+    lake, raw = _exported(spark, folder, "last-processed")
+    ingest(lake, raw, "day")
+    last = lake.last_processed()
+    at = lake.file_log().agg(F.max("processed_at").alias("at"), F.sum("record_count").alias("record_count"))
+    return last.crossJoin(at).select((F.col("last_processed_at") == F.col("at")).alias("is_newest"), "record_count")
+
+
+def csv_by_header(spark, folder):
+    """Raw files with other orders of columns, without some, and with foreign ones."""
+    root = work_folder(spark, "headers")
+    rows = listings(spark, folder).select(*[F.coalesce(c, F.lit("")).alias(c) for c in RAW_COLUMNS], "ingest_seq")
+    orders = [RAW_COLUMNS, RAW_COLUMNS[::-1], ["extra", *[c for c in RAW_COLUMNS[5:] if c != "legal"], *RAW_COLUMNS[:5]]]
+    for n, names in enumerate(orders):
+        part = rows.where(F.col("ingest_seq") % 3 == n).withColumn("extra", F.lit("x"))
+        part.select(*names).write.options(**raw_files.WRITE_OPTIONS).csv(f"{root}/raw_{n}")
+    return raw_files.stamp(raw_files.scan_csv(spark, f"{root}/*")).where("corrupt_record is null").select(*RAW_COLUMNS)
+
+
+def csv_latest(spark, folder):
+    """Listings exported in order, loaded at one moment; the last line per URL wins."""
+    path = f"{work_folder(spark, 'latest')}/listings_20251027_094851"
+    raw_files.export_csv(listings(spark, folder).orderBy("ingest_seq"), path, rows_per_file=500)
+    rows = raw_files.stamp(raw_files.scan_csv(spark, path), F.lit("2025-01-01").cast("timestamp"))
+    return keyed.newest_listing(rows, "created_at").select("subpage_url", "post_id")
+
+
 def null_tokens(spark, folder):
     """Missing-value texts among the words of order priorities and part types."""
     parts = table(spark, folder, "part")
@@ -384,23 +498,35 @@ def delete_where(spark, folder):
     return C.delete_where(table(spark, folder, "orders"), {"o_orderstatus": "P"})
 
 
+def page_after_key(spark, folder):
+    """The fifty rows after a known one, by price and key."""
+    return C.rows_after(table(spark, folder, "orders"), ["o_totalprice", "o_orderkey"], [100000.0, 0], 50)
+
+
+def sample_row(spark, folder):
+    return C.sample_row(table(spark, folder, "orders")).agg(F.count("*").alias("n"), F.count("o_orderkey").alias("n_keys"))
+
+
+def preview(spark, folder):
+    return C.preview(table(spark, folder, "orders")).agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_keys"))
+
+
 def chunk_union(spark, folder):
-    """Good rows and rejected rows put back together: every input row once."""
-    cleaned = _cleaned(spark, folder)
-    good = P.good_rows(cleaned).select("ingest_seq", F.lit(None).cast("string").alias("error_message"))
-    return good.unionByName(P.rejected_rows(cleaned, ["ingest_seq"]).drop("retry_status"))
+    """Good rows and rejected rows of one written run put back together: every input row once."""
+    path = work_folder(spark, "routed")
+    routed(_staging(spark, folder)).write.partitionBy("is_valid").parquet(path)
+    rows = spark.read.schema(ROUTED).parquet(path)
+    good = rows.where("is_valid").select("ingest_seq", F.lit(None).cast("string").alias("error_message"))
+    return good.unionByName(rows.where("not is_valid").select("ingest_seq", "error_message"))
 
 
 # stored pages
 
 
 def page_fields(spark, folder):
-    pages = spread(table(spark, folder, "pages"), "page_id").withColumn("doc", H.content("html"))
-    return pages.select(
-        "page_id",
-        H.text_or_null("doc", H.element("h1")).alias("heading"),
-        H.text_or_null("doc", H.element("footer")).alias("footer"),
-    )
+    found = H.fields("html", {"heading": H.element("h1"), "footer": H.element("footer")})
+    pages = spread(table(spark, folder, "pages"), "page_id").withColumn("found", found)
+    return pages.select("page_id", *[H.text_or_null(f"found.{c}").alias(c) for c in ("heading", "footer")])
 
 
 def page_links(spark, folder):
@@ -440,9 +566,19 @@ def seed_pages(spark, folder):
 
 def payload_rows(spark, folder):
     """Items gathered into nested payloads by page and flattened again."""
+    seeds = crawl.seed_pages(spark, BASE_URL, 0, 59)
+    items = listings(spark, folder)
+    path = work_folder(spark, "counts")
+    crawl.items_per_page(seeds, items).write.parquet(path)
+    columns = [c for c in RAW.fieldNames() if c != "main_page_url"]
+    return crawl.flat_rows(crawl.page_payloads(spark.read.parquet(path), items, columns, "post_id"))
+
+
+def unknown_parents(spark, folder):
+    """Items whose listing page is not among the seeds, counted by page."""
     seeds = crawl.seed_pages(spark, BASE_URL, 5, 59)
-    payloads = crawl.page_payloads(seeds, listings(spark, folder), [c for c in RAW.fieldNames() if c != "main_page_url"], "post_id")
-    return crawl.flat_rows(payloads)
+    counts = listings(spark, folder).groupBy("main_page_url").agg(F.count("*").alias("n"))
+    return counts.join(seeds, "main_page_url", "left_anti")
 
 
 def column_labels(spark, folder):
@@ -511,4 +647,19 @@ QUERIES = {
     "seed_pages": seed_pages,
     "payload_rows": payload_rows,
     "column_labels": column_labels,
+    "late_load": late_load,
+    "error_table": error_table,
+    "retry_update": retry_update,
+    "error_delete": error_delete,
+    "generic_insert": generic_insert,
+    "ingest_two_files": ingest_two_files,
+    "ingest_streams": ingest_streams,
+    "new_files": new_files,
+    "last_processed": last_processed,
+    "csv_by_header": csv_by_header,
+    "csv_latest": csv_latest,
+    "page_after_key": page_after_key,
+    "sample_row": sample_row,
+    "preview": preview,
+    "unknown_parents": unknown_parents,
 }

@@ -2,21 +2,6 @@
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "STRING": T.StringType(),
-    "INT": T.IntegerType(),
-    "LONG": T.LongType(),
-    "DOUBLE": T.DoubleType(),
-    "TIMESTAMP": T.TimestampType(),
-}
-
-
-def _table(columns: str) -> T.StructType:
-    """``"name TYPE, ..."`` to a schema; unlike ``fromDDL`` it needs no running session."""
-    pairs = [column.split() for column in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
 # Column names and their order in the raw listing files.
 RAW_COLUMNS = [
     "main_page_url",
@@ -68,29 +53,67 @@ STAGING = T.StructType(
     ]
 )
 
-FILE_LOG = _table(
-    "file_name STRING, file_path STRING, file_timestamp TIMESTAMP,"
-    " processed_at TIMESTAMP, record_count LONG, status STRING"
+FILE_LOG = T.StructType(
+    [
+        T.StructField("file_name", T.StringType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("file_timestamp", T.TimestampType()),
+        T.StructField("processed_at", T.TimestampType()),
+        T.StructField("record_count", T.LongType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
+
+# One row is appended per committed load of bronze; other loads are not visible.
+LOAD_LOG = T.StructType(
+    [
+        T.StructField("load", T.StringType()),
+        T.StructField("committed_at", T.TimestampType()),
+    ]
 )
 
 # As stored: a line that could not be read is kept whole, in a column that is null otherwise.
 LOADED = T.StructType(STAGING.fields + [T.StructField("corrupt_record", T.StringType())])
 
 # The columns of the clean table, in order.
-CLEAN = _table(
-    """
-    main_page_url STRING, page_number INT, subpage_url STRING, title STRING,
-    specific_area STRING, hamlet_neighborhood STRING, ward_commune STRING,
-    district STRING, province_city STRING, area_m2 DOUBLE, million_per_m2 DOUBLE,
-    house_direction STRING, balcony_direction STRING, facade DOUBLE,
-    have_red_book INT, have_pink_book INT, have_sale_contract INT,
-    have_agreement_document INT, furniture_type STRING, has_premium_furniture INT,
-    number_bedroom INT, number_bathroom INT, number_floor INT, way_in_m DOUBLE,
-    project_name STRING, project_status_stage STRING, project_investor STRING,
-    post_id STRING, post_start_time STRING, post_end_time STRING, post_type STRING,
-    source STRING, store_staging_at TIMESTAMP, transformed_at TIMESTAMP,
-    loai_bat_dong_san STRING
-    """
+CLEAN = T.StructType(
+    [
+        T.StructField("main_page_url", T.StringType()),
+        T.StructField("page_number", T.IntegerType()),
+        T.StructField("subpage_url", T.StringType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("specific_area", T.StringType()),
+        T.StructField("hamlet_neighborhood", T.StringType()),
+        T.StructField("ward_commune", T.StringType()),
+        T.StructField("district", T.StringType()),
+        T.StructField("province_city", T.StringType()),
+        T.StructField("area_m2", T.DoubleType()),
+        T.StructField("million_per_m2", T.DoubleType()),
+        T.StructField("house_direction", T.StringType()),
+        T.StructField("balcony_direction", T.StringType()),
+        T.StructField("facade", T.DoubleType()),
+        T.StructField("have_red_book", T.IntegerType()),
+        T.StructField("have_pink_book", T.IntegerType()),
+        T.StructField("have_sale_contract", T.IntegerType()),
+        T.StructField("have_agreement_document", T.IntegerType()),
+        T.StructField("furniture_type", T.StringType()),
+        T.StructField("has_premium_furniture", T.IntegerType()),
+        T.StructField("number_bedroom", T.IntegerType()),
+        T.StructField("number_bathroom", T.IntegerType()),
+        T.StructField("number_floor", T.IntegerType()),
+        T.StructField("way_in_m", T.DoubleType()),
+        T.StructField("project_name", T.StringType()),
+        T.StructField("project_status_stage", T.StringType()),
+        T.StructField("project_investor", T.StringType()),
+        T.StructField("post_id", T.StringType()),
+        T.StructField("post_start_time", T.StringType()),
+        T.StructField("post_end_time", T.StringType()),
+        T.StructField("post_type", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("store_staging_at", T.TimestampType()),
+        T.StructField("transformed_at", T.TimestampType()),
+        T.StructField("loai_bat_dong_san", T.StringType()),
+    ]
 )
 CLEAN_COLUMNS = CLEAN.fieldNames()
 
@@ -106,7 +129,30 @@ ROUTED = T.StructType(
 )
 
 # One row is appended per committed silver run; the newest row is the current state.
-RUN_LOG = _table(
-    "run LONG, last_date TIMESTAMP, base_run LONG, good_rows LONG, error_rows LONG,"
-    " duplicate_rows LONG, committed_at TIMESTAMP, feed STRING"
+RUN_LOG = T.StructType(
+    [
+        T.StructField("run", T.LongType()),
+        T.StructField("last_date", T.TimestampType()),
+        T.StructField("base_run", T.LongType()),
+        T.StructField("good_rows", T.LongType()),
+        T.StructField("error_rows", T.LongType()),
+        T.StructField("duplicate_rows", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("feed", T.StringType()),
+    ]
+)
+
+# Loads that a silver run has read.
+RUN_LOADS = T.StructType([T.StructField("load", T.StringType())])
+
+# Later changes of rejected rows: the newest change of a row counts.
+ERROR_CHANGES = T.StructType(
+    [
+        T.StructField("run", T.LongType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("ingest_seq", T.LongType()),
+        T.StructField("retry_status", T.StringType()),
+        T.StructField("deleted", T.BooleanType()),
+    ]
 )
+CHANGE_LOG = T.StructType([T.StructField("change", T.LongType()), T.StructField("committed_at", T.TimestampType())])

@@ -1,8 +1,8 @@
-"""Table locations, the silver tables and the run log.
+"""Table locations, the silver tables and the logs.
 
-Tables live under ``<root>/<namespace>/<table>``. Each load or run writes its own folder and
-may be repeated: it overwrites that folder. A silver run counts only once its row is in the
-run log, which is written last, so a run that stops half-way leaves nothing visible.
+Tables live under ``<root>/<namespace>/<table>``. Each load or run writes its own folder. It
+counts only once its row is in the load log or run log, which is written last; until then it may
+be repeated and overwrites that folder, and nothing of it is visible.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..operators.conditions import conditions
 from ..operators.keyed import latest_per_key, upsert
 
 
@@ -54,26 +55,65 @@ class Lake:
 
     # bronze
 
+    def load_log(self) -> DataFrame:
+        return self.read("bronze", "load_log", schemas.LOAD_LOG)
+
+    def loaded(self) -> DataFrame:
+        """Rows of committed loads with their load, broken lines included."""
+        stored = T.StructType(schemas.LOADED.fields + [T.StructField("load", T.StringType())])
+        rows = self.read("bronze", "staging", stored)
+        return rows.join(self.load_log().select("load").distinct(), "load", "left_semi")
+
     def staging(self) -> DataFrame:
-        return _readable(self.read("bronze", "staging", schemas.LOADED))
+        return _readable(self.loaded())
 
     def staging_stream(self) -> DataFrame:
         """Staging rows as loads are added."""
         return _readable(self.spark.readStream.schema(schemas.LOADED).parquet(self.path("bronze", "staging")))
 
     def rejected_lines(self) -> DataFrame:
-        rows = self.read("bronze", "staging", schemas.LOADED).where("corrupt_record is not null")
+        rows = self.loaded().where("corrupt_record is not null")
         return rows.select("source_file", "corrupt_record", "created_at")
 
     def staging_after(self, last_micros: int | None) -> DataFrame:
-        """Rows created after the watermark; the comparison is pushed to the Parquet scan."""
+        """Rows created after a moment; the comparison is pushed to the Parquet scan."""
         rows = self.staging()
         if last_micros is None:
             return rows
         return rows.where(F.col("created_at") > F.timestamp_micros(F.lit(last_micros)))
 
+    def new_load(self, name: str) -> str:
+        """The name, or with a number if a committed load has it: no load overwrites another."""
+        used = self.load_log().where((F.col("load") == name) | F.col("load").startswith(name + "~"))
+        n = used.select("load").distinct().count()
+        return f"{name}~{n + 1}" if n else name
+
+    def is_committed(self, load: str) -> bool:
+        return not self.load_log().where(F.col("load") == load).isEmpty()
+
+    def add_load(self, rows: DataFrame, load: str, log=None) -> None:
+        """Write a load and make it visible. ``log``: called between the two, with the load's rows."""
+        self.append(rows, "bronze", "staging", load)
+        if log is not None:
+            log(self.read_path(self.path("bronze", "staging", f"load={load}"), schemas.LOADED))
+        row = self.spark.range(1).select(F.lit(load).alias("load"), F.current_timestamp().alias("committed_at"))
+        row.write.mode("append").parquet(self.path("bronze", "load_log"))
+
+    def unrefined(self) -> DataFrame:
+        """Committed loads that no committed silver run has read."""
+        done = self.read("silver", "run_loads", T.StructType(schemas.RUN_LOADS.fields + [T.StructField("run", T.LongType())]))
+        done = done.where(F.col("run") <= self.state().run).select("load")
+        return self.load_log().select("load").distinct().join(done, "load", "left_anti")
+
     def file_log(self) -> DataFrame:
-        return self.read("bronze", "processed_files_log", schemas.FILE_LOG).select(*schemas.FILE_LOG.fieldNames())
+        """Files of committed loads."""
+        stored = T.StructType(schemas.FILE_LOG.fields + [T.StructField("load", T.StringType())])
+        rows = self.read("bronze", "processed_files_log", stored)
+        rows = rows.join(self.load_log().select("load").distinct(), "load", "left_semi")
+        return rows.select(*schemas.FILE_LOG.fieldNames())
+
+    def failed_files(self) -> DataFrame:
+        return self.file_log().where("status = 'failed'")
 
     def last_processed(self) -> DataFrame:
         return self.file_log().agg(F.max("processed_at").alias("last_processed_at"))
@@ -104,12 +144,45 @@ class Lake:
             self.path("silver", "run_log")
         )
 
-    def errors(self) -> DataFrame:
-        """Rejected rows of all committed runs, with their run number."""
+    def _routed_errors(self) -> DataFrame:
         partitions = [T.StructField("run", T.LongType()), T.StructField("is_valid", T.BooleanType())]
         rows = self.read("silver", "routed", T.StructType(schemas.ERRORS.fields + partitions))
         return rows.where(~F.col("is_valid") & (F.col("run") <= self.state().run)).drop("is_valid")
 
+    def errors(self) -> DataFrame:
+        """Rejected rows of all committed runs, with their run number, as later changed."""
+        stored = T.StructType(schemas.ERROR_CHANGES.fields + [T.StructField("change", T.LongType())])
+        changes = self.read("silver", "error_changes", stored)
+        log = self.read("silver", "change_log", schemas.CHANGE_LOG)
+        changes = changes.join(log.select("change").distinct(), "change", "left_semi")
+        newest = changes.groupBy("run", "source_file", "ingest_seq").agg(
+            F.max_by(F.struct("retry_status", "deleted"), "change").alias("now")
+        )
+        rows, keys = self._routed_errors(), ["run", "source_file", "ingest_seq"]
+        newest = newest.select(*[F.col(k).alias(f"_{k}") for k in keys], "now")
+        same = F.lit(True)
+        for k in keys:
+            same = same & rows[k].eqNullSafe(F.col(f"_{k}"))
+        joined = rows.join(newest, same, "left").where(~F.coalesce("now.deleted", F.lit(False)))
+        status = F.when(F.col("now").isNull(), F.col("retry_status")).otherwise(F.col("now.retry_status"))
+        return joined.withColumn("retry_status", status).select(*rows.columns)
+
+    def change_errors(self, filters: dict, retry_status: str | None = None, delete: bool = False) -> int:
+        """Set the retry status of rejected rows, or delete them; gives the number of rows.
+
+        Only the keys of changed rows are written. The change counts once it is in the change log.
+        """
+        log = self.read("silver", "change_log", schemas.CHANGE_LOG)
+        number = (log.agg(F.max("change").alias("last")).first().last or 0) + 1
+        rows = self.errors().where(conditions(filters))
+        status = F.col("retry_status") if delete else F.lit(retry_status)
+        rows = rows.select("run", "source_file", "ingest_seq", status.cast("string").alias("retry_status"), F.lit(delete).alias("deleted"))
+        path = self.path("silver", "error_changes", f"change={number}")
+        rows.write.mode("overwrite").parquet(path)
+        row = self.spark.range(1).select(F.lit(number).cast("long").alias("change"), F.current_timestamp().alias("committed_at"))
+        row.write.mode("append").parquet(self.path("silver", "change_log"))
+        return self.read_path(path, schemas.ERROR_CHANGES).count()
+
     def clean(self) -> DataFrame:
         """The clean table: the last compacted base with later runs put in, newest run first."""
         state = self.state()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +18,15 @@ CORRUPT = "corrupt_record"
 # Fixed value: how a time is written in file names.
 NAME_TIME = r"([0-9]{8})_([0-9]{6})"
 
+WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
 
-_READ_SCHEMA = T.StructType(RAW.fields + [T.StructField(CORRUPT, T.StringType())])
-
 
 def name_time(name: Column | str, modified: Column | str) -> Column:
     """Time in a file name; null if its digits are no time; the modification time if it has none."""
@@ -40,28 +48,81 @@ def _file_facts() -> dict[str, Column]:
     }
 
 
+def headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names in the order of each file's first line, with the files that have them.
+
+    One row per file comes to the driver, so ``paths`` should be a bounded number of files.
+    """
+    lines = spark.read.text(paths).select(
+        "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        names = tuple(n.strip() for n in next(csv.reader([row.line.removeprefix("\ufeff")]), []))
+        found.setdefault(names, []).append(row.file)
+    return found
+
+
 def scan_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw columns as text, the broken line if any, and the file's path and time."""
-    return spark.read.schema(_READ_SCHEMA).options(**CSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT).csv(paths).select(
-        *RAW_COLUMNS, CORRUPT, *[c.alias(n) for n, c in _file_facts().items()]
+    """Raw columns as text, the broken line if any, and the file's path and time.
+
+    Columns are found by the names in each file's header, in any order; one that a file does not
+    have is null, and others are not read. Files are scanned together by header.
+    """
+    scans = []
+    for names, files in headers(spark, paths).items():
+        # A repeated or foreign name keeps its place but is not read.
+        places = [n if n in RAW_COLUMNS and n not in names[:i] else f"_other_{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*places, CORRUPT]])
+        rows = spark.read.schema(schema).options(**CSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT).csv(files)
+        columns = [F.col(c) if c in places else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS]
+        scans.append(rows.select(*columns, CORRUPT, *[c.alias(n) for n, c in _file_facts().items()]))
+    if not scans:
+        empty = T.StructType(
+            RAW.fields + [T.StructField(n, T.StringType()) for n in (CORRUPT, "source_file")] + [T.StructField("file_timestamp", T.TimestampType())]
+        )
+        return spark.createDataFrame([], empty)
+    return reduce(DataFrame.unionByName, scans)
+
+
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _listed(files: DataFrame) -> DataFrame:
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("path").alias("file_path"),
+        *[c.alias(n) for n, c in _file_facts().items() if n == "file_timestamp"],
     )
 
 
-def stream_csv(spark: SparkSession, folder: str, archive: str | None = None, max_files: int | None = None) -> DataFrame:
-    """As ``scan_csv`` over files as they arrive; finished files may be moved to ``archive``."""
-    reader = spark.readStream.schema(_READ_SCHEMA).options(**CSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT)
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder).select(*RAW_COLUMNS, CORRUPT, *[c.alias(n) for n, c in _file_facts().items()])
+def stream_files(spark: SparkSession, folder: str, max_files: int) -> DataFrame:
+    """Files as they arrive, as ``list_files`` gives them."""
+    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("maxFilesPerTrigger", max_files)
+    return _listed(reader.load(folder))
+
+
+def move_files(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Move a bounded number of files within their file system; one that is gone was moved before."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(conf).mkdirs(target)
+    for path in paths:
+        source = jvm.org.apache.hadoop.fs.Path(path)
+        files = source.getFileSystem(conf)
+        if files.exists(source):
+            files.rename(source, jvm.org.apache.hadoop.fs.Path(target, source.getName()))
 
 
 def stamp(rows: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Loadable rows from scanned rows: missing-value texts to null, then arrival time and order.
 
-    ``ingest_seq`` rises with file time, then with the line's place in its file. Multi-line
-    files are read whole by one task, so the place within the task is the place in the file.
+    ``ingest_seq`` holds the file's time in the upper bits and a number that rises within the file
+    in the lower ones. Multi-line files are read whole by one task, so rows are in the same order
+    by (time, ``source_file``, number) however files are dealt to tasks; the number alone is not
+    unique over files. See ``keyed.newest_listing``.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 31) - 1))
     seconds = F.coalesce(F.unix_timestamp("file_timestamp"), F.lit(0))
@@ -76,21 +137,12 @@ def stamp(rows: DataFrame, created_at: Column | None = None) -> DataFrame:
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files of a folder; their contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("path").alias("file_path"),
-        *[c.alias(n) for n, c in _file_facts().items() if n == "file_timestamp"],
-    )
+    return _listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder))
 
 
 def new_files(files: DataFrame, file_log: DataFrame) -> DataFrame:
-    """Files with a usable time that the log does not have yet, oldest first."""
-    return (
-        without_known(files, file_log, "file_path")
-        .where(F.col("file_timestamp").isNotNull())
-        .orderBy("file_timestamp", "file_path")
-    )
+    """Files with a usable time that the log does not have yet."""
+    return without_known(files, file_log, "file_path").where(F.col("file_timestamp").isNotNull())
 
 
 def file_log_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
@@ -108,16 +160,12 @@ def file_log_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def export_csv(rows: DataFrame, path: str, rows_per_file: int = 200) -> None:
-    """Raw rows as CSV files of at most ``rows_per_file`` rows, UTF-8 with a byte order mark."""
+def export_csv(rows: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """Raw rows as CSV files of at most ``rows_per_file`` rows, UTF-8 with a byte order mark.
+
+    A file with quoted line breaks is read by one task: the default keeps it at some tens of MB.
+    """
     flat = rows.select(*RAW_COLUMNS).na.fill("")
     # Each part file starts with the header, so a mark on the first name starts each file.
     marked = flat.withColumnRenamed(RAW_COLUMNS[0], "\ufeff" + RAW_COLUMNS[0])
-    marked.write.mode("overwrite").options(
-        header="true",
-        escape='"',
-        emptyValue="",
-        ignoreLeadingWhiteSpace="false",
-        ignoreTrailingWhiteSpace="false",
-        maxRecordsPerFile=rows_per_file,
-    ).csv(path)
+    marked.write.mode("overwrite").options(**WRITE_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)

@@ -1,19 +1,22 @@
 """File stream to bronze, and rows to silver, by micro-batch.
 
 Progress is kept in the stream's checkpoint rather than in a time predicate, so rows that
-arrive late are not passed over. Batches are written to folders named after the batch, and a
-batch that is replayed writes the same folders again.
+arrive late are not passed over. A batch's load is named after the identity that Spark gives the
+checkpoint and the batch's number: a batch that is replayed is the same load, and another stream,
+or a renewed checkpoint, never writes to it.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import load_rows
+from ..plans.ingest import BATCH_FILES, load_files
 from ..plans.refine import refine_rows
 from ..sources.lake import Lake
-from ..sources.raw_files import stream_csv
+from ..sources.raw_files import new_files, stream_files
 
 
 def _start(rows: DataFrame, batch, checkpoint: str, continuous: str | None) -> StreamingQuery:
@@ -22,13 +25,24 @@ def _start(rows: DataFrame, batch, checkpoint: str, continuous: str | None) -> S
     return writer.trigger(**trigger).start()
 
 
+def _identity(lake: Lake, checkpoint: str) -> str:
+    return json.loads(lake.spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+
 def ingest_stream(
     lake: Lake, folder: str, checkpoint: str, archive: str | None = None, continuous: str | None = None,
-    max_files: int | None = None,
+    max_files: int = BATCH_FILES, failed: str | None = None,
 ) -> StreamingQuery:
-    """Each raw file once into bronze; finished files go to ``archive`` if given."""
-    rows = stream_csv(lake.spark, folder, archive, max_files)
-    return _start(rows, lambda df, n: load_rows(lake, df, f"stream-{n:012d}"), checkpoint, continuous)
+    """Each raw file once into bronze, with its row in the file log; files that a load has are left
+    out. Finished files go to ``archive`` and unreadable ones to ``failed`` if given."""
+
+    def batch(found: DataFrame, n: int) -> None:
+        load = f"stream-{_identity(lake, checkpoint)}-{n:012d}"
+        files = new_files(found, lake.file_log())
+        if not files.isEmpty() or lake.is_committed(load):
+            load_files(lake, files, load, archive, failed)
+
+    return _start(stream_files(lake.spark, folder, max_files), batch, checkpoint, continuous)
 
 
 def refine_stream(lake: Lake, rows: DataFrame, checkpoint: str, continuous: str | None = None) -> StreamingQuery:

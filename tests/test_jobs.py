@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from homelake import schemas
+from homelake.operators.keyed import newest_listing
 from homelake.plans import quality
 from homelake.plans.ingest import ingest
 from homelake.plans.refine import refine, refine_rows
@@ -39,7 +40,7 @@ def raw(tmp_path):
 
 def add_rows(lake, load, rows):
     full = [tuple(r.get(c) for c in schemas.RAW_COLUMNS) + (at, seq, "f") for seq, (at, r) in enumerate(rows)]
-    lake.append(lake.spark.createDataFrame(full, schemas.STAGING), "bronze", "staging", load)
+    lake.add_load(lake.spark.createDataFrame(full, schemas.STAGING), load)
 
 
 def test_ingest_reads_every_new_file_once(lake, raw):
@@ -66,11 +67,53 @@ def test_ingest_reads_every_new_file_once(lake, raw):
 def test_a_repeated_load_does_not_repeat_rows(lake, raw):
     write_csv(raw / "raw_20251027_094851.csv", [GOOD])
     ingest(lake, str(raw), "1")
-    shutil.rmtree(lake.path("bronze", "processed_files_log"))  # as if the job stopped before its log
+    shutil.rmtree(lake.path("bronze", "load_log"))  # as if the job stopped before its log
+    assert lake.staging().count() == 0 and lake.file_log().count() == 0
     ingest(lake, str(raw), "1")
     assert lake.staging().count() == 1
 
 
+def test_a_name_used_again_adds(lake, raw):
+    write_csv(raw / "raw_20251027_094851.csv", [GOOD])
+    ingest(lake, str(raw), "day")
+    write_csv(raw / "raw_20251028_094851.csv", [GOOD | {"title": "b"}])
+    ingest(lake, str(raw), "day")
+    assert sorted(r.title for r in lake.staging().collect()) == ["b", "t"] and lake.file_log().count() == 2
+
+
+def test_many_batches_and_moved_files(lake, raw, tmp_path):
+    for n in range(9):
+        write_csv(raw / f"raw_2025102{n}_094851.csv", [GOOD | {"title": str(n)}] if n else [])
+    done, failed = tmp_path / "done", tmp_path / "failed"
+    summary = ingest(lake, str(raw), "day", batch_files=2, archive=str(done), failed=str(failed)).first()
+    assert (summary.processed, summary.failed) == (8, 1) and lake.load_log().count() > 1
+    assert sorted(r.title for r in lake.staging().collect()) == list("12345678")
+    assert not list(raw.glob("*.csv")) and len(list(done.glob("*.csv"))) == 8 and len(list(failed.glob("*.csv"))) == 1
+    assert [r.file_name for r in lake.failed_files().collect()] == ["raw_20251020_094851.csv"]
+
+
+def test_columns_are_found_by_name(spark, raw):
+    (raw / "a_20251027_094851.csv").write_text("\ufefftitle,other,subpage_url\nt,o,u\n", encoding="utf-8")
+    (raw / "b_20251027_094851.csv").write_text("subpage_url,title,title\nu2,t2,t3\n", encoding="utf-8")
+    (raw / "c_20251027_094851.csv").write_text("")
+    rows = raw_files.scan_csv(spark, str(raw)).orderBy("title").collect()
+    assert [(r.title, r.subpage_url, r.legal, r.corrupt_record) for r in rows] == [("t", "u", None, None), ("t2", "u2", None, None)]
+
+
+def test_newest_line_does_not_depend_on_splits(spark, raw):
+    for n in range(12):
+        write_csv(raw / f"part{n:02d}_20251027_094851.csv", [GOOD | {"subpage_url": f"u{i}", "title": f"{n}-{i}-{j}"} for i in range(5) for j in range(2)])
+    found = []
+    for size in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if size == "1k" else "4m")
+        rows = raw_files.stamp(raw_files.scan_csv(spark, str(raw)), F.lit("2025-01-01").cast("timestamp"))
+        found.append(sorted(r.title for r in newest_listing(rows, "created_at").collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] == [f"11-{i}-1" for i in range(5)]
+
+
 def test_file_names_without_a_time(spark):
     rows = spark.createDataFrame([("a_20251027_094851.csv",), ("a_20251399_094851.csv",), ("a.csv",)], "n string")
     found = rows.select(raw_files.name_time("n", F.lit("2020-01-01").cast("timestamp")).alias("t")).collect()
@@ -79,7 +122,7 @@ def test_file_names_without_a_time(spark):
 
 def test_export_has_small_files_with_a_mark(spark, tmp_path):
     rows = spark.range(450).select(*[F.lit(" a ").alias(c) for c in schemas.RAW_COLUMNS]).coalesce(1)
-    raw_files.export_csv(rows, str(tmp_path / "out_20251027_094851"))
+    raw_files.export_csv(rows, str(tmp_path / "out_20251027_094851"), rows_per_file=200)
     files = sorted((tmp_path / "out_20251027_094851").glob("*.csv"))
     assert len(files) == 3 and all(f.read_bytes().startswith(b"\xef\xbb\xbfmain_page_url,") for f in files)
     back = raw_files.scan_csv(spark, str(tmp_path / "out_20251027_094851"))
@@ -118,6 +161,25 @@ def test_runs_are_incremental_and_repeatable(lake):
     assert {r.title for r in lake.clean().collect()} == {"too late", "t"}
 
 
+def test_a_load_committed_late_is_refined(lake):
+    late = GOOD | {"subpage_url": "https://x/ban-condotel-2", "title": "too late"}
+    add_rows(lake, "1", [(datetime(2025, 1, 5), GOOD)])
+    refine(lake)
+    add_rows(lake, "2", [(datetime(2025, 1, 1), late), (None, late | {"subpage_url": "https://x/ban-condotel-3"})])
+    assert refine(lake).first().last_date == datetime(2025, 1, 5)
+    assert {r.title for r in lake.clean().collect()} == {"t", "too late"} and lake.clean().count() == 3
+    assert refine(lake).first().run == 2
+
+
+def test_errors_can_be_changed(lake):
+    add_rows(lake, "1", [(datetime(2025, 1, 1), GOOD | {"price": p}) for p in ("?", "!", "1 tỷ")])
+    refine(lake)
+    assert lake.change_errors({"price": "?"}, "resolved") == 1
+    assert lake.change_errors({"price": "!"}, delete=True) == 1
+    assert [(r.price, r.retry_status) for r in lake.errors().collect()] == [("?", "resolved")]
+    assert lake.change_errors({"price": "?"}, None) == 1 and lake.errors().first().retry_status is None
+
+
 def test_an_unfinished_run_is_invisible_and_can_be_repeated(lake, monkeypatch):
     add_rows(lake, "1", [(datetime(2025, 1, 1), GOOD), (datetime(2025, 1, 1), GOOD | {"price": "?"})])
 
@@ -157,6 +219,15 @@ def test_streams(lake, raw, tmp_path):
     assert lake.errors().count() == 1 and lake.state().run == 1
 
 
+def test_streams_do_not_overwrite_each_other(lake, raw, tmp_path):
+    write_csv(raw / "raw_20251027_094851.csv", [GOOD, GOOD])
+    ingest_stream(lake, str(raw), str(tmp_path / "c1")).awaitTermination()
+    write_csv(raw / "raw_20251028_094851.csv", [GOOD])
+    ingest_stream(lake, str(raw), str(tmp_path / "c2")).awaitTermination()  # finds both files again
+    assert lake.staging().count() == 3 and lake.file_log().count() == 2
+    assert ingest(lake, str(raw), "batch").first().status == "no_files"
+
+
 def test_reports_without_data(spark):
     errors = spark.createDataFrame([], "created_at timestamp, retry_status string")
     totals = quality.error_totals(quality.error_daily(errors)).first()
