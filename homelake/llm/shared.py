@@ -31,7 +31,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage ends there, a lost
     executor costs nothing, and Spark knows the size for its join choices."""
     path = new_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -216,8 +216,9 @@ def group(rows: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     ``component_id`` (its smallest doc_id)."""
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     linked = stored(link(distinct.select("fp"), radius, tile), "linked")
-    own = distinct.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    own = stored(distinct.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "own")
+    # Both sides of the join are written tables: the partition of a large component can be split.
+    named = stored(own.groupBy("component").agg(F.min("first_id").alias("component_id")), "named")
     classes = stored(own.select("fp", "component").join(named, "component"), "classes")
     return rows.join(classes, "fp")
 
