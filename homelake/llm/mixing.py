@@ -105,7 +105,7 @@ def budgets(
     give every source one whole pass.
     """
     share = F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(power))).otherwise(0.0)
-    sums = sources.agg(F.sum(share).alias("z"), F.sum("tokens").alias("all"), F.max(F.col("tokens") / share).alias("cover")).first()
+    sums = sources.agg(F.sum(share).alias("z"), F.sum("tokens").alias("all"), F.max(F.try_divide(F.col("tokens"), share)).alias("cover")).first()
     if cover:
         size = sums["cover"] or 0.0
         wanted = F.greatest(F.col("tokens"), F.round(share * size).cast("long"))

@@ -100,7 +100,9 @@ def anchors(short: np.ndarray, span: int) -> np.ndarray:
 
 def levels(first: int, window: int) -> list[int]:
     """Lengths of the windows looked at: doubled each time, the last one the window itself."""
-    out = [first]
+    if window < 2:
+        raise ValueError("a window has at least two words")
+    out = [min(first, (window + 1) // 2)]
     while out[-1] < window:
         out.append(min(2 * out[-1], window))
     return out
@@ -278,6 +280,7 @@ def remove_repeats(
     every = stored(plain.mapInArrow(_plain, f"row_key long, doc_id {kind}, n_words long, whole_sha256 string"), "words")
     texts = plain.where("text is not null")
     steps = levels(first, window)
+    first = steps[0]
     lists: list[str] = []
     for at, length in enumerate(steps):
         own = texts.select("row_key", "text", *lists)

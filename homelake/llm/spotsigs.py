@@ -275,6 +275,7 @@ def near_duplicates(
     edges = map_groups(tiled, ["level", "signature", "tile_a", "tile_b"], work, "a string, b string", rows=4096)
     linked = stored(components(edges).withColumnsRenamed({"node": "entry"}), "linked")
     own = entries.select("entry", "first_id").join(linked, "entry", "left").withColumn("component", F.coalesce("component", "entry"))
-    named = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    own = stored(own, "own")
+    named = stored(own.groupBy("component").agg(F.min("first_id").alias("component_id")), "named")
     classes = stored(own.join(named, "component").select(F.col("entry").alias("class"), "component_id"), "classes")
     return rows.join(classes, F.col("entry") == F.col("class")).select("doc_id", "component_id")
