@@ -205,3 +205,26 @@ class Lake:
                 "committed_at", F.current_timestamp()
             )
         )
+
+    def vacuum(self, hours: float = 24) -> list[str]:
+        """Remove runs and bases that a newer base holds, once that base is ``hours`` old.
+
+        Until then a reader that began before the base was committed may still use them. Gives the
+        folders removed.
+        """
+        state = self.state()
+        base = self.run_log().where((F.col("base_run") == state.base_run) & (F.col("base_run") > 0))
+        since = base.agg(F.min("committed_at") <= F.current_timestamp() - F.make_dt_interval(hours=F.lit(hours))).first()[0]
+        if not since:
+            return []
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        gone = []
+        for table, last in (("clean_changes", state.base_run), ("clean_base", state.base_run - 1)):
+            folder = jvm.org.apache.hadoop.fs.Path(self.path("silver", table))
+            files = folder.getFileSystem(conf)
+            for entry in files.listStatus(folder) if files.exists(folder) else []:
+                name = entry.getPath().getName()
+                if name.startswith("run=") and int(name[4:]) <= last:
+                    files.delete(entry.getPath(), True)
+                    gone.append(f"{table}/{name}")
+        return sorted(gone)

@@ -149,6 +149,8 @@ def test_runs_are_incremental_and_repeatable(lake):
     lake.compact()
     assert lake.state().base_run == 2 and sorted(map(str, lake.clean().collect())) == before
     lake.compact()
+    assert lake.vacuum() == [] and lake.vacuum(hours=0) == ["clean_changes/run=1", "clean_changes/run=2"]
+    assert sorted(map(str, lake.clean().collect())) == before
     refine_rows(lake, lake.staging(), 2)  # a run that is in the log is not done again
     assert sorted(map(str, lake.clean().collect())) == before and lake.errors().count() == 1
 
