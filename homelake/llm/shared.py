@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -35,6 +36,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove written tables whose results are written too, and let Spark drop shuffle files that
+    nothing refers to any more: the driver's collector is what tells it."""
+    for table in tables:
+        spark = table.sparkSession
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        folder = shared_folder(spark)
+        for parent in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(parent)
+            if path.toUri().getPath().startswith(jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath() + "/"):
+                path.getFileSystem(conf).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
+
+
 def column(name: str):
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -4,14 +4,15 @@ A window is ``window`` consecutive words of one document; every word covered by
 word sequence also starts anywhere else is removed. Only windows that repeat at a short length
 are looked at at twice that length, and so on up to the window's own length.
 
-The shortest level looks at anchors alone: in each run of short windows that a long one holds, the
-one with the smallest hash. Two places with the same long window have the same anchor in it, so
-none is lost, and about one short window in fourteen is looked at.
+Levels below the last look at anchors alone: of the short windows that a long one holds, the one
+with the smallest hash. Two places with the same long window have the same anchor in it, so none
+is lost, and few short windows are looked at. Equal texts are looked at once: of a text with copies
+every window starts elsewhere, so all its words go if it has a window at all.
 
 Defined results: null text has no words and keeps none; documents shorter than a window keep all;
 repeated rows are places of their own; a word sequence that starts twice in one document counts as
 repeated; an empty table gives no rows; other columns are not read. Hashes of the last level have
-128 bits, those before only choose candidates.
+96 bits, those before only choose candidates.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column, stored
+from .shared import column, release, stored
 
 WINDOW = 35
 #: Length of the windows of the first level; later levels double it up to the window.
@@ -34,14 +35,14 @@ _MANY = 200_000  # word hashes remembered by a task
 
 
 class _Hashes(dict):
-    """128-bit hashes of words."""
+    """128-bit hashes of words, as bytes."""
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_128_intdigest
+    def __missing__(self, word: bytes) -> bytes:
+        from xxhash import xxh3_128_digest
 
         if len(self) > _MANY:
             self.clear()
-        value = self[word] = xxh3_128_intdigest(word)
+        value = self[word] = xxh3_128_digest(word)
         return value
 
 
@@ -51,9 +52,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 def word_hashes(words: list[bytes], known: _Hashes) -> np.ndarray:
     """Two 64-bit numbers for each word, in two rows."""
-    mask = (1 << 64) - 1
-    full = [known[w] for w in words]
-    return np.array([[v & mask for v in full], [v >> 64 for v in full]], np.uint64).reshape(2, -1)
+    full = b"".join(map(known.__getitem__, words))
+    return np.ascontiguousarray(np.frombuffer(full, "<u8").reshape(-1, 2).T)
 
 
 class _Powers:
@@ -90,12 +90,18 @@ def window_hashes(hashes: np.ndarray, length: int, which: int) -> np.ndarray:
     return out
 
 
-def anchors(short: np.ndarray, span: int) -> np.ndarray:
-    """Places of the smallest short window (the first of equal ones) of every ``span`` in a row."""
+def anchors(hashes: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window: where its anchor of ``length`` words starts, and the anchor's hash. Of equal
+    hashes the first counts; the anchor of the full length is the window itself."""
+    short = window_hashes(hashes, length, 0)
+    span = window - length + 1
     if len(short) < span:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), short[:0]
+    if span == 1:
+        return np.arange(len(short)), short
     runs = np.lib.stride_tricks.sliding_window_view(short, span)
-    return np.unique(np.arange(len(runs)) + runs.argmin(axis=1))
+    at = np.arange(len(runs)) + runs.argmin(axis=1)
+    return at, short[at]
 
 
 def levels(first: int, window: int) -> list[int]:
@@ -117,99 +123,75 @@ def _spread(marks: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def _rows(batches: Iterator[pa.RecordBatch]):
-    known = _Hashes()
-    for batch in batches:
-        for row in zip(*batch.columns, strict=True):
-            yield known, [v.as_py() for v in row]
+def _first_pass(first: int, window: int):
+    """Of every document: number of words, digest of all of them, and the first level's anchors."""
 
-
-def _gathered(rows, names: list[str], at_once: int = 100_000) -> Iterator[pa.RecordBatch]:
-    """Batches from tuples of equally long arrays of 64-bit numbers."""
-    held, count = [], 0
-    for row in rows:
-        held.append(row)
-        count += len(row[0])
-        if count >= at_once:
-            yield _batch(held, names)
-            held, count = [], 0
-    if held:
-        yield _batch(held, names)
-
-
-def _batch(held, names) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
-
-
-def _anchor_rows(first: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for known, (key, text) in _rows(batches):
-                words = words_of(text)
-                if len(words) < window:
-                    continue
-                short = window_hashes(word_hashes(words, known)[0], first, 0)
-                chosen = short[anchors(short, window - first + 1)]
-                yield chosen.view(np.int64), np.full(len(chosen), key, np.int64)
-
-        yield from _gathered(rows(), ["hash", "row_key"])
+        known = _Hashes()
+        for batch in batches:
+            counts, digests, found = [], [], []
+            for text in batch.column(2):
+                words = words_of(text.as_py())
+                counts.append(len(words))
+                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                at, hashes = anchors(word_hashes(words, known)[0], first, window)
+                found.append(hashes[np.unique(at, return_index=True)[1]].view(np.int64))
+            lists = pa.ListArray.from_arrays(
+                np.cumsum([0, *map(len, found)]).astype(np.int32), pa.array(np.concatenate(found)) if found else pa.array([], pa.int64())
+            )
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(counts, pa.int64()), pa.array(digests, pa.string()), lists],
+                ["text_id", "doc_id", "n_words", "whole_sha256", "anchors"],
+            )
 
     return run
 
 
-def _candidates(words: list[bytes], known: _Hashes, found: np.ndarray, first: int, window: int, last: int) -> tuple:
-    """(word hashes, mask of the window starts of length ``last`` that can still repeat).
-
-    ``found``: repeated hashes of the level before. At the first level these are anchors: a long
-    window can repeat only if its own anchor does.
-    """
-    hashes = word_hashes(words, known)
-    short = window_hashes(hashes[0], first, 0)
-    span = window - first + 1
-    runs = np.lib.stride_tricks.sliding_window_view(short, span)
-    own = np.arange(len(runs)) + runs.argmin(axis=1)
-    long_ones = np.isin(short[own], found)
-    # A shorter window is of use if a long one that can repeat holds it.
-    inside = np.zeros(len(words) + 1, np.int64)
-    at = np.flatnonzero(long_ones)
-    np.add.at(inside, at, 1)
-    np.add.at(inside, at + (window - last) + 1, -1)
-    return hashes, np.cumsum(inside)[: len(words) - last + 1] > 0
+def _surviving(hashes: np.ndarray, found: list, steps: list[int], window: int) -> np.ndarray:
+    """Mask of the windows whose anchors repeat at each level so far."""
+    alive = np.ones(max(0, hashes.shape[1] - window + 1), bool)
+    for length, repeated in zip(steps, found, strict=True):
+        alive &= np.isin(anchors(hashes[0], length, window)[1].view(np.int64), np.array(repeated or [], np.int64))
+    return alive
 
 
-def _doubled(before: list[int], length: int, first: int, window: int):
-    """Hashes of the windows of ``length`` in documents with what repeats at the level before."""
+def _next_level(steps: list[int], length: int, window: int):
+    """(row_key, hash[, high]) of the anchors of ``length`` in windows that survive the levels before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for known, (key, text, *found) in _rows(batches):
-                words = words_of(text)
-                hashes, mask = _narrowed(words, known, found, before, length, first, window)
-                if not mask.any():
+        known = _Hashes()
+        held: list[tuple] = []
+        count = 0
+        for batch in batches:
+            for key, text, *found in zip(*batch.columns, strict=True):
+                hashes = word_hashes(words_of(text.as_py()), known)
+                alive = _surviving(hashes, [f.as_py() for f in found], steps, window)
+                if not alive.any():
                     continue
-                low, high = (window_hashes(hashes[i], length, i)[mask].view(np.int64) for i in (0, 1))
-                yield low, high, np.full(len(low), key, np.int64)
-
-        yield from _gathered(rows(), ["hash", "high", "row_key"])
+                at, own = anchors(hashes[0], length, window)
+                places, first = np.unique(at[alive], return_index=True)
+                row = [np.full(len(places), key.as_py(), np.int64), own[alive][first].view(np.int64)]
+                if length == window:
+                    high = window_hashes(hashes[1], window, 1)[places]
+                    row.append((high & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
+                held.append(tuple(row))
+                count += len(places)
+                if count >= 100_000:
+                    yield _batch(held)
+                    held, count = [], 0
+        if held:
+            yield _batch(held)
 
     return run
 
 
-def _narrowed(words, known, found, before, length, first, window):
-    """Window starts of ``length`` all of whose parts repeat at each level before."""
-    anchor = np.array(found[0] or [], np.int64).view(np.uint64)
-    if len(words) < window:
-        return np.empty((2, 0), np.uint64), np.zeros(0, bool)
-    hashes, mask = _candidates(words, known, anchor, first, window, length)
-    for part, repeated in zip(before[1:], found[1:], strict=True):
-        alone = np.isin(window_hashes(hashes[0], part, 0), np.array(repeated or [], np.int64).view(np.uint64))
-        n = len(mask)
-        mask &= alone[:n] & alone[length - part : length - part + n]
-    return hashes, mask
+def _batch(held: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(np.concatenate(c)) for c in zip(*held, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["row_key", "hash", "high"][: len(columns)])
 
 
 def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(row_key, list of hashes) of what occurs more than once over all rows.
+    """(row_key, lists of hashes) of what occurs more than once over all rows.
 
     Counts are formed before the exchange; the join back is between two written tables, so that
     the partition of a very common window can be split.
@@ -220,22 +202,25 @@ def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     for k in keys:
         on = on & (F.col(k) == F.col(f"many_{k}"))
     kept = rows.join(many, on, "left_semi")
-    return stored(kept.groupBy("row_key").agg(*[F.collect_list(k).alias(f"{name}_{k}") for k in keys]), "places")
+    out = stored(kept.groupBy("row_key").agg(*[F.collect_list(k).alias(f"{name}_{k}") for k in keys]), "places")
+    release(many)
+    return out
 
 
 def _covered(words: list[bytes], known: _Hashes, low: list[int], high: list[int], window: int) -> np.ndarray:
-    """Mask of the words in a window whose 128-bit hash is among those given."""
+    """Mask of the words in a window whose 96-bit hash is among those given."""
     hashes = word_hashes(words, known)
-    own = [window_hashes(hashes[i], window, i).view(np.int64) for i in (0, 1)]
+    own = window_hashes(hashes[0], window, 0).view(np.int64)
+    more = (window_hashes(hashes[1], window, 1) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
     wanted = set(zip(low, high, strict=True))
-    starts = np.isin(own[0], np.array(low, np.int64))
+    starts = np.isin(own, np.array(low, np.int64))
     for at in np.flatnonzero(starts).tolist():
-        starts[at] = (int(own[0][at]), int(own[1][at])) in wanted
+        starts[at] = (int(own[at]), int(more[at])) in wanted
     return _spread(np.concatenate([starts, np.zeros(window - 1, bool)]), window)
 
 
 def _final(window: int):
-    """(row_key, doc_id, n_removed, kept text) from the repeated hashes of whole windows."""
+    """(text_id, n_removed, kept text) from the repeated hashes of whole windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
@@ -243,73 +228,77 @@ def _final(window: int):
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 removed, kept = [], []
-                for text, low, high in zip(*part.columns[2:], strict=True):
+                for text, low, high in zip(*part.columns[1:], strict=True):
                     words = words_of(text.as_py())
                     gone = _covered(words, known, low.as_py(), high.as_py(), window)
                     removed.append(int(gone.sum()))
                     kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                    ["row_key", "doc_id", "n_removed", "kept"],
+                    [part.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                    ["text_id", "n_removed", "kept"],
                 )
 
     return run
 
 
-def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of words and digest of all of them, for every document."""
-    for batch in batches:
-        split = [words_of(v.as_py()) for v in batch.column(2)]
-        digests = [hashlib.sha256(b" ".join(w)).hexdigest() for w in split]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(map(len, split), pa.int64()), pa.array(digests, pa.string())],
-            ["row_key", "doc_id", "n_words", "whole_sha256"],
-        )
-
-
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, first: int = FIRST
 ) -> tuple[DataFrame, DataFrame]:
-    """Two tables: (row_key, doc_id, n_words, whole_sha256) of every document, and (row_key,
-    doc_id, n_removed, kept) of those that lose words; ``kept`` is the text left, words joined by a space."""
-    # Rows are told apart by a hash of id and text; rows that repeat both have the same result.
-    plain = docs.select(
-        F.xxhash64(column(doc_id), column(text)).alias("row_key"), column(doc_id).alias("doc_id"), column(text).alias("text")
-    )
-    kind = plain.schema["doc_id"].dataType.simpleString()
-    every = stored(plain.mapInArrow(_plain, f"row_key long, doc_id {kind}, n_words long, whole_sha256 string"), "words")
-    texts = plain.where("text is not null")
+    """Two tables: (text_id, doc_id, n_words, whole_sha256, copies) of every document, and (text_id,
+    n_removed, kept) of texts that lose words; ``kept`` is the text left, words joined by a space.
+    Texts with copies that are not in the second table lose all words if they have a window."""
     steps = levels(first, window)
-    first = steps[0]
-    lists: list[str] = []
-    for at, length in enumerate(steps):
-        own = texts.select("row_key", "text", *lists)
-        if at == 0:
-            rows = own.mapInArrow(_anchor_rows(first, window), "hash long, row_key long")
-            found = _repeated(stored(rows, "anchors"), ["hash"], "f0")
-        else:
-            rows = own.mapInArrow(_doubled(steps[:at], length, first, window), "hash long, high long, row_key long")
-            found = _repeated(stored(rows, "windows"), ["hash", "high"], f"f{at}")
-        if length < window:
-            # The next level reads the documents in which something repeats, from their own table.
+    content = F.coalesce(column(text), F.lit(""))
+    plain = docs.select(F.md5(content).alias("text_id"), column(doc_id).alias("doc_id"), content.alias("text"))
+    kind = plain.schema["doc_id"].dataType.simpleString()
+    schema = f"text_id string, doc_id {kind}, n_words long, whole_sha256 string, anchors array<long>"
+    every = stored(plain.mapInArrow(_first_pass(steps[0], window), schema), "words")
+    # One row for each text, with the document that stands for it.
+    texts = every.groupBy("text_id").agg(
+        F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors")
+    )
+    texts = stored(texts.withColumn("row_key", F.xxhash64("text_id")), "distinct")
+    found = _repeated(texts.select("row_key", F.explode("anchors").alias("hash")), ["hash"], "f0")
+    one = texts.select("row_key", F.col("text_id").alias("own_id"), F.col("doc_id").alias("own_doc")).join(found, "row_key")
+    same = (F.col("text_id") == F.col("own_id")) & F.col("doc_id").eqNullSafe(F.col("own_doc"))
+    lists = ["f0_hash"]
+    current = stored(plain.join(one, same).select("row_key", "text_id", "text", *lists), "texts")
+    release(found)
+    for at, length in enumerate(steps[1:], 1):
+        last = length == window
+        keys = ["hash", "high"] if last else ["hash"]
+        rows = current.select("row_key", "text", *lists).mapInArrow(
+            _next_level(steps[:at], length, window), "row_key long, hash long" + (", high int" if last else "")
+        )
+        rows = stored(rows, "windows")
+        found = _repeated(rows, keys, f"f{at}")
+        release(rows)
+        if not last:
             lists.append(f"f{at}_hash")
-            texts = stored(texts.join(found.select("row_key", lists[-1]), "row_key"), "texts")
-    last = f"f{len(steps) - 1}"
-    ready = texts.join(found, "row_key").select("row_key", "doc_id", "text", f"{last}_hash", f"{last}_high")
-    kept = ready.mapInArrow(_final(window), f"row_key long, doc_id {kind}, n_removed long, kept string")
-    return every, kept
+            narrower = stored(current.join(found, "row_key"), "texts")
+            release(current, found)
+            current = narrower
+    name = f"f{len(steps) - 1}"
+    kept = current.join(found, "row_key").select("text_id", "text", f"{name}_hash", f"{name}_high")
+    kept = stored(kept.mapInArrow(_final(window), "text_id string, n_removed long, kept string"), "kept")
+    release(current, found)
+    copies = stored(texts.where("copies > 1").select(F.col("text_id").alias("copied_id"), "copies"), "copied")
+    whole = every.join(copies, F.col("text_id") == F.col("copied_id"), "left").select(
+        "text_id", "doc_id", "n_words", "whole_sha256", F.coalesce("copies", F.lit(1)).alias("copies")
+    )
+    return whole, kept
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, first: int = FIRST) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row."""
     every, kept = remove_repeats(docs, doc_id, text, window, first)
     digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
-    lost = stored(kept.select(F.col("row_key").alias("lost_key"), F.col("doc_id").alias("lost_id"), "n_removed", digest), "kept")
-    lost = lost.dropDuplicates(["lost_key", "lost_id"])
-    same = (F.col("row_key") == F.col("lost_key")) & F.col("doc_id").eqNullSafe(F.col("lost_id"))
-    return every.join(lost, same, "left").select(
+    lost = stored(kept.select(F.col("text_id").alias("lost_id"), "n_removed", digest).dropDuplicates(["lost_id"]), "lost")
+    gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return every.join(lost, F.col("text_id") == F.col("lost_id"), "left").select(
         "doc_id",
         "n_words",
-        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+        F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
+        F.when(gone, nothing).otherwise(F.coalesce("kept_sha256", "whole_sha256")).alias("kept_sha256"),
     )
