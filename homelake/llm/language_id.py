@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column
+from .shared import column, stored
 
 UNKNOWN = "und"
 #: Bytes of the dictionary of each language: the bound of the sample that is learned from.
@@ -60,7 +60,8 @@ def learn(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
     wanted = 4 * dictionary_bytes // document_bytes
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # A written table: its size is known, so that the texts are not exchanged by language.
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
     near = rows.join(counts, "lang").withColumn("place", place).where(F.col("place") <= 2.0 * wanted / F.col("n"))
     ranked = near.select("lang", "place", F.substring("text", 1, document_bytes).alias("text")).groupBy("lang").agg(
