@@ -233,8 +233,9 @@ def near_duplicates(
     linked = stored(parts.select(F.col("node").alias("entry"), "component"), "linked")
     counts = found.where("b is null").groupBy(F.col("a").alias("entry")).agg(F.sum("n").alias("links"))
     named = entries.select("entry", "n", "first_id").join(linked, "entry", "left").join(counts, "entry", "left")
-    named = named.withColumn("component", F.coalesce("component", "entry"))
-    first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = stored(named.withColumn("component", F.coalesce("component", "entry")), "named")
+    # Both sides of the join are written tables: the partition of a large component can be split.
+    first = stored(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "first_ids")
     classes = stored(
         named.join(first, "component").select(
             F.col("entry").alias("class"), "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
