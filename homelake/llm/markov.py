@@ -30,9 +30,9 @@ STATES = len(ALPHABET) + 1
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+"
 #: Runs below this length are not looked at by the models: they hold too little to decide.
 LEAST_RUN = 16
-#: Log-likelihood ratio, in nats a character, from which a run is a secret. Above zero, as most runs
-#: are no secrets.
-THRESHOLD = 0.3
+#: Log-likelihood ratio, in nats a character, from which a run is a secret: zero, where both models
+#: are as likely.
+THRESHOLD = 0.0
 
 
 def _code(char: Column) -> Column:
