@@ -1,8 +1,10 @@
 """Language identification by compression (operator 5).
 
-A text is encoded once per language by zstandard with that language's raw-content dictionary; the
-language with the smallest encoding wins. Where the winner's margin over the second is narrow,
-the document is marked as rejected.
+The whole text is cut into pieces of equal size, and each is encoded once per language by zstandard
+with that language's raw-content dictionary; the language with the smallest sum of encodings wins.
+Pieces are short, so that every part of a text meets the dictionary and not what came before it:
+beyond one piece neither margin nor winner depends on the length. Where the winner's margin over
+the second is narrow, the document is marked as rejected.
 
 Defined results: null text and text without a letter are ``und`` with score 0; ties go to the
 language first in order; without any learned language all are ``und``; with only one, it wins
@@ -25,6 +27,8 @@ UNKNOWN = "und"
 DICTIONARY_BYTES = 131072
 #: Bytes of one document that may enter a dictionary, so that many documents do.
 DOCUMENT_BYTES = 4096
+#: Most bytes of normal form that are encoded at once; longer texts are several pieces.
+PIECE_BYTES = 4096
 #: Relative margin below which a prediction is rejected: in short texts, a tie.
 MIN_MARGIN = 0.003
 #: The margin that counts as certain.
@@ -88,11 +92,17 @@ def _encoders(dictionaries: dict[str, bytes]):
     return out
 
 
+def pieces(content: bytes, piece_bytes: int = PIECE_BYTES) -> list[bytes]:
+    """All of the content, in pieces of one size (the last may be a little shorter)."""
+    width = -(-len(content) // -(-len(content) // piece_bytes)) if content else 1
+    return [content[i : i + width] for i in range(0, len(content), width)]
+
+
 def classify(text: str | None, encoders, min_margin: float) -> tuple[str, float, bool]:
     if text is None or not encoders or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, False
-    content = normal_form(text).encode()
-    sizes = sorted((len(encoder.compress(content)), i) for i, (_, encoder) in enumerate(encoders))
+    parts = pieces(normal_form(text).encode())
+    sizes = sorted((sum(len(encoder.compress(p)) for p in parts), i) for i, (_, encoder) in enumerate(encoders))
     best = encoders[sizes[0][1]][0]
     if len(sizes) == 1:
         return best, 1.0, True

@@ -320,6 +320,13 @@ def test_language_of_odd_rows(spark, odd):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_pieces_are_the_whole_text():
+    for n in (0, 1, 4095, 4096, 4097, 8193, 100_000):
+        content = bytes(i % 251 for i in range(n))
+        parts = language_id.pieces(content)
+        assert b"".join(parts) == content and all(0 < len(p) <= language_id.PIECE_BYTES for p in parts)
+
+
 # 6 SimHash
 
 

@@ -9,7 +9,7 @@ from test_operators import base_spans, check_packing, slow_components, slow_fing
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from homelake.llm import packing
+from homelake.llm import language_id, packing
 from homelake.llm.oracle import SQL
 from homelake.llm.queries import QUERIES, table, vocabulary
 
@@ -53,6 +53,25 @@ def test_languages_of_the_table(spark):
     assert n > 100 and right > 0.96
 
 
+@pytest.fixture(scope="module")
+def joined(spark):
+    """Dictionaries of the table and, by language, all its distinct texts as one."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents").where("text is not null")
+    texts = collections.defaultdict(set)
+    for r in docs.select("lang", "text").collect():
+        texts[r.lang].add(r.text)
+    return language_id._encoders(language_id.learn(docs)), {k: " ".join(sorted(v)) for k, v in texts.items()}
+
+
+def test_clean_long_texts_are_accepted(joined):
+    encoders, texts = joined
+    for lang in ("en", "fr", "de", "es"):
+        whole = language_id.classify(texts[lang], encoders, language_id.MIN_MARGIN)
+        part = language_id.classify(texts[lang][:100_000], encoders, language_id.MIN_MARGIN)
+        assert len(texts[lang]) > 2_000_000 and whole[0] == part[0] == lang and whole[2]
+        assert 0.75 * part[1] < whole[1] < 1.33 * part[1]
+
+
 def test_pipeline_by_stage(spark, tmp_path):
     docs, before = table(spark, FOLDER, "documents"), None
     columns = docs.columns
