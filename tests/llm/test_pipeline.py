@@ -72,6 +72,16 @@ def test_clean_long_texts_are_accepted(joined):
         assert 0.75 * part[1] < whole[1] < 1.33 * part[1]
 
 
+def test_every_part_of_a_text_counts_alike(joined):
+    encoders, texts = joined
+    for first, then in (("en", "de"), ("fr", "en"), ("de", "fr")):
+        for before, after in ((10_000, 30_000), (20_000, 200_000), (20_000, 600_000), (20_000, 2_000_000)):
+            parts = [texts[first][:before], texts[then][:after]]
+            for order in (parts, parts[::-1]):
+                lang_pred, _, accepted = language_id.classify(" ".join(order), encoders, language_id.MIN_MARGIN)
+                assert (lang_pred, accepted) == (then, True)
+
+
 def test_pipeline_by_stage(spark, tmp_path):
     docs, before = table(spark, FOLDER, "documents"), None
     columns = docs.columns
