@@ -57,16 +57,17 @@ def learn(
     """Raw-content dictionaries by language, from a bounded sample of labelled rows.
 
     ``4 * dictionary_bytes / document_bytes`` documents per language are looked at in order of a
-    hash of their text; counts of all rows give the share to read. What reaches the driver is
-    bounded by that times ``document_bytes`` for each language.
+    hash of their text, copies counting once; counts of distinct texts give the share to read. What
+    reaches the driver is bounded by that times ``document_bytes`` for each language.
     """
     rows = docs.select(column(text).alias("text"), column(lang).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
     wanted = 4 * dictionary_bytes // document_bytes
     # A written table: its size is known, so that the texts are not exchanged by language.
-    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
+    mark = F.xxhash64("text")
+    counts = stored(rows.select("lang", mark.alias("mark")).distinct().groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    place = F.pmod(mark, F.lit(1 << 40)) / float(1 << 40)
     near = rows.join(counts, "lang").withColumn("place", place).where(F.col("place") <= 2.0 * wanted / F.col("n"))
     ranked = near.select("lang", "place", F.substring("text", 1, document_bytes).alias("text")).groupBy("lang").agg(
         F.slice(F.array_sort(F.collect_set(F.struct("place", "text"))), 1, wanted).alias("sample")

@@ -320,6 +320,16 @@ def test_language_of_odd_rows(spark, odd):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_dictionaries_of_copies(spark):
+    rng = random.Random(12)
+    distinct = {lang: [f"{lang} {prose(rng, 30)}" for _ in range(10)] for lang in ("aa", "bb", "cc", "dd")}
+    rows = [(t, lang) for lang, texts in distinct.items() for t in texts]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4).select("*", F.explode(F.expr("sequence(1, 1000)")).alias("copy"))
+    learned = language_id.learn(docs)
+    for lang, texts in distinct.items():
+        assert sorted(learned[lang].decode().split("\n")) == sorted(texts)
+
+
 def test_pieces_are_the_whole_text():
     for n in (0, 1, 4095, 4096, 4097, 8193, 100_000):
         content = bytes(i % 251 for i in range(n))
