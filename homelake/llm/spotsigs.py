@@ -1,13 +1,15 @@
 """Document fingerprints with SpotSigs (operator 8).
 
-A signature is a chain of content words that follows an occurrence of a common word (its anchor);
-a document's fingerprint is the set of its signatures, and two documents are compared by the
-Jaccard similarity of their sets. For near-duplicates, sets are partitioned by length, indexed by
+A signature is a chain of content words that follows an occurrence of a common word (its anchor).
+Other anchors are one word in ``EXTRA``, by a hash of the word alone, for texts with few common
+words; the first words and the last ones are a signature each. This rule is the same for every text,
+whatever the number of its signatures. A document's fingerprint is the set of its signatures, and
+two documents are compared by the Jaccard similarity of their sets. For near-duplicates, sets are partitioned by length, indexed by
 their rarest signatures, and compared with bounds that stop early.
 
-Defined results: null text is empty; a text with fewer than ``LEAST`` signatures also has one for
-each word and what follows it, and one without words has a single signature, of the text itself,
-so that equal fingerprints of texts without words mean equal texts; texts of any length are
+Defined results: null text is empty; a chain that reaches beyond the
+text is none, and first and last words are filled up where there are fewer; a text without words has a single signature, of the text itself, so that equal
+fingerprints of texts without words mean equal texts; texts of any length are
 fingerprinted whole; an empty table gives no rows; other columns are not read. In the order of
 documents, rows that repeat an id are ordered by text; a null id has no place in the order, and
 such a document is its own next; so is the only one of a table.
@@ -37,11 +39,12 @@ COMMON = (
     "el y los se del por las con no una su para al lo más"
 ).split()
 CHAIN = 3
-LEAST = 8
+EXTRA = 2
 THRESHOLD = 0.8
 TILE = 1024
 _MANY = 200_000
-_ANCHOR, _NOTHING = 1, 2  # what a word is, in the two low bits of its number
+_ANCHOR, _NOTHING, _BOTH = 1, 2, 3  # what a word is, in the two low bits of its number
+_START, _END = 4, 8  # stand before the first and the last words
 
 
 class _Words(dict):
@@ -58,7 +61,8 @@ class _Words(dict):
             self.clear()
         word = "".join(filter(str.isalnum, raw))
         value = xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & ~3
-        value |= _NOTHING if not word else _ANCHOR if word in self.common else 0
+        extra = _BOTH if (value >> 2) % EXTRA == 0 else 0
+        value |= _NOTHING if not word else _ANCHOR if word in self.common else extra
         self[raw] = value
         return value
 
@@ -72,7 +76,7 @@ def _mixed(parts: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.uint32)
 
 
-def signatures(text: str | None, words: _Words, chain: int = CHAIN, least: int = LEAST) -> np.ndarray:
+def signatures(text: str | None, words: _Words, chain: int = CHAIN) -> np.ndarray:
     """The sorted set of signatures of a text, as 32-bit numbers."""
     text = text or ""
     numbers = np.array([words[w] for w in text.lower().split()], np.uint64)
@@ -81,17 +85,15 @@ def signatures(text: str | None, words: _Words, chain: int = CHAIN, least: int =
         from xxhash import xxh3_64_intdigest
 
         return np.array([xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) & 0xFFFFFFFF], np.uint32)
-    anchor = (numbers & np.uint64(3)) == _ANCHOR
-    content = numbers[~anchor]
-    before = np.cumsum(~anchor)  # content words up to each word
-    at = np.flatnonzero(anchor)
+    kind, rest = numbers & np.uint64(3), np.zeros(chain, np.uint64)
+    told = kind != _ANCHOR
+    content = numbers[told]
+    before = np.cumsum(told)  # content words up to each word
+    at = np.flatnonzero((kind == _ANCHOR) | (kind == _BOTH))
     at = at[before[at] + chain <= len(content)] if len(content) else at[:0]
-    found = np.unique(_mixed([numbers[at], *(content[before[at] + i] for i in range(chain))]))
-    if len(found) < least:
-        padded = np.concatenate([numbers, np.zeros(chain - 1, np.uint64)])
-        every = _mixed([padded[i : i + len(numbers)] for i in range(chain)])
-        found = np.unique(np.concatenate([found, every]))
-    return found
+    chains = _mixed([numbers[at], *(content[before[at] + i] for i in range(chain))])
+    outer = np.array([[_START, *np.concatenate([numbers, rest])[:chain]], [_END, *np.concatenate([rest, numbers])[-chain:]]], np.uint64)
+    return np.unique(np.concatenate([chains, _mixed(list(outer.T))]))
 
 
 def likeness(a: np.ndarray, b: np.ndarray, at_least: float = 0.0) -> float:

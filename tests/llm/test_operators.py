@@ -532,6 +532,26 @@ def test_spotsigs_duplicates(spark, tile):
     assert spotsigs.near_duplicates(empty(spark)).count() == 0
 
 
+def test_signatures_do_not_depend_on_their_number(spark):
+    rng = random.Random(13)
+    words = spotsigs._Words(spotsigs.COMMON)
+    of = lambda text: set(spotsigs.signatures(text, words).tolist())
+    texts = []
+    for common in range(4, 13):
+        text = prose(rng, 5) + " " + " ".join(f"{rng.choice(['the', 'of', 'and'])} {prose(rng, 3)}" for _ in range(common))
+        texts += [text, f"{text} of {prose(rng, 3)}"]
+    for a, b in itertools.batched(texts, 2):
+        # Only what reaches to the end of the shorter text may differ.
+        assert len(of(a) - of(b)) <= 4 and spotsigs.likeness(*(spotsigs.signatures(t, words) for t in (a, b))) > 0.4
+    text = prose(rng, 300)
+    n = [len(of(" ".join(text.split()[:k]))) for k in range(1, 301)]
+    assert all(abs(b - a) <= 4 for a, b in itertools.pairwise(n)) and n[0] >= 2 and n[-1] > 30
+    # A pair whose common words change from eight to seven is still a pair.
+    body = [f"{c} {prose(rng, 9)}" for c in "the of and to in is that for".split()]
+    pair = " ".join(body), " ".join([*body[:4], body[4].replace("in ", "within ", 1), *body[5:]])
+    assert {r.component_id for r in spotsigs.near_duplicates(documents(spark, pair)).collect()} == {0}
+
+
 # 9 substrings
 
 
