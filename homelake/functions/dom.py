@@ -1,25 +1,68 @@
-"""Elements of a stored page: a small tree of tags, read in one pass."""
+"""Elements of a stored page, read in one pass and found by ranges.
+
+Elements are numbered as they begin, so the descendants of an element are the numbers after its own
+up to its last one, and a search inside it is a range of the numbers of a tag. End tags that HTML
+lets a page leave out are supplied as a browser does: a new ``li``, ``p``, ``td``, ``option`` and so
+on ends the open one, as long as no list, table or section has begun in between. An end tag that
+ends nothing is passed over. Time grows with the page's length, whatever is left open in it.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from urllib.parse import urljoin
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
-# Elements without an end tag, and those whose content is no markup and no text here.
+
+# Fixed values, from the HTML standard: elements without an end tag; those whose content is no markup
+# and no text here; those whose content is text alone.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNREAD = frozenset(["script", "style"])
+_UNREAD = frozenset("iframe noembed noframes script style".split())
+_PLAIN = frozenset("textarea title".split())
+# Start tags that end an open p; elements that an end tag or a start tag does not reach through.
+_ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form"
+    " h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+_SCOPE = frozenset("applet caption html marquee object table td template th".split())
+_SECTIONS = frozenset(
+    "article aside blockquote body button center details dialog dir dl fieldset figcaption figure footer form h1 h2 h3"
+    " h4 h5 h6 header hgroup html main menu nav ol pre search section select summary table tbody td template tfoot th"
+    " thead tr ul".split()
+)
+_BLOCK = _ENDS_P | _SECTIONS | _SCOPE | {"p"}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Which open elements a start tag ends, and the elements it does not look beyond.
+_ENDS = {
+    "li": (("li",), _SECTIONS),
+    "dt": (("dt", "dd"), _SECTIONS),
+    "dd": (("dt", "dd"), _SECTIONS),
+    "tr": (("td", "th", "tr"), frozenset(["table"])),
+    "td": (("td", "th"), frozenset(["table"])),
+    "th": (("td", "th"), frozenset(["table"])),
+    "tbody": (("td", "th", "tr", "caption", "colgroup", "thead", "tbody", "tfoot"), frozenset(["table"])),
+    "thead": (("td", "th", "tr", "caption", "colgroup", "thead", "tbody", "tfoot"), frozenset(["table"])),
+    "tfoot": (("td", "th", "tr", "caption", "colgroup", "thead", "tbody", "tfoot"), frozenset(["table"])),
+    "option": (("option",), frozenset(["select", "datalist"])),
+    "optgroup": (("option", "optgroup"), frozenset(["select"])),
+    "a": (("a",), _SCOPE | _SECTIONS),
+    "button": (("button",), _SCOPE),
+}
+_TABLE_PARTS = frozenset("tbody td tfoot th thead tr".split())
+_HEAD = frozenset("base link meta noscript script style template title".split())
 
 
 class Element:
-    __slots__ = ("tag", "raw", "_attributes", "text_from", "text_to", "last")
+    __slots__ = ("tag", "raw", "number", "parent", "_attributes", "_classes", "text_from", "text_to", "last")
 
-    def __init__(self, tag: str, raw: str, text_from: int):
-        self.tag, self.raw, self._attributes = tag, raw, None
+    def __init__(self, tag: str, raw: str, number: int, parent: int, text_from: int):
+        self.tag, self.raw, self.number, self.parent = tag, raw, number, parent
+        self._attributes = self._classes = None
         self.text_from = text_from  # place in the page's texts
         self.text_to = self.last = -1  # end of its texts, and its last descendant
 
@@ -28,73 +71,181 @@ class Element:
         """By lower-case name; of repeated names the first counts."""
         if self._attributes is None:
             self._attributes = {}
-            for name, double, single, bare in _ATTRIBUTE.findall(self.raw):
-                self._attributes.setdefault(name.lower(), html.unescape(double or single or bare))
+            if self.raw:
+                for name, double, single, bare in _ATTRIBUTE.findall(self.raw):
+                    value = double or single or bare
+                    self._attributes.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
         return self._attributes
 
-    def matches(self, tag: str, classes: tuple[str, ...], exact_class: str | None) -> bool:
-        if self.tag != tag:
+    @property
+    def classes(self) -> list[str]:
+        if self._classes is None:
+            self._classes = self.attributes.get("class", "").split()
+        return self._classes
+
+    def matches(self, classes: tuple[str, ...], exact_class: str | None) -> bool:
+        if exact_class is not None and self.attributes.get("class", "") != exact_class:
             return False
-        if not classes and exact_class is None:
-            return True
-        own = self.attributes.get("class", "")
-        return (exact_class is None or own == exact_class) and all(c in own.split() for c in classes)
+        return all(c in self.classes for c in classes)
+
+
+class _Open:
+    """Open elements, and for each kind of them the places of those that are open."""
+
+    def __init__(self):
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of open blocks, and of what bounds a scope
+        self.scopes: list[int] = []
+
+    def push(self, element: Element) -> None:
+        place, tag = len(self.stack), element.tag
+        self.places.setdefault(tag, []).append(place)
+        self.stack.append(element)
+        if tag in _BLOCK:
+            self.blocks.append(place)
+            if tag in _SCOPE:
+                self.scopes.append(place)
+
+    def pop(self) -> Element:
+        element = self.stack.pop()
+        tag = element.tag
+        self.places[tag].pop()
+        if tag in _BLOCK:
+            self.blocks.pop()
+            if tag in _SCOPE:
+                self.scopes.pop()
+        return element
+
+    def innermost(self, tags) -> int:
+        """Place of the innermost open element of these tags; -1 without one."""
+        places = self.places
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
 
 class Page:
-    """Elements in order, to any depth. An element that is left open ends with the one around it."""
+    """Elements in order, to any depth, and the texts between tags."""
 
     def __init__(self, source: str):
         self.elements: list[Element] = []
         self.texts: list[str] = []
-        open_at: list[int] = []
-        at = 0
-        while found := _MARKUP.search(source, at):
+        self.text_parents: list[int] = []  # number of the element each text is in; -1 outside of all
+        self._open = _Open()
+        self._tags: dict[str, list[int]] = {}
+        self._read(source)
+        self._close(0)
+
+    def _read(self, source: str) -> None:
+        at, last = 0, source.rfind(">")
+        find = _MARKUP.search
+        while at <= last and (found := find(source, at)):
             if found.start() > at:
-                self.texts.append(source[at : found.start()])
+                self._text(source[at : found.start()])
             at = found.end()
             tag = found[2]
             if tag is None:
                 continue
             tag = tag.lower()
             if found[1]:
-                if any(self.elements[i].tag == tag for i in reversed(open_at)):
-                    while True:
-                        i = open_at.pop()
-                        self._end(i)
-                        if self.elements[i].tag == tag:
-                            break
+                self._end_tag(tag)
                 continue
-            raw = found[3]
-            self.elements.append(Element(tag, raw, len(self.texts)))
+            self._start_tag(tag)
+            element = self._add(tag, found[3])
             if tag in _VOID:
-                self._end(len(self.elements) - 1)
-            elif tag in _UNREAD:
+                self._finish(element)
+            elif tag in _UNREAD or tag in _PLAIN:
+                self._open.push(element)
                 end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+                if tag in _PLAIN:
+                    self._text(source[at : end.start() if end else len(source)])
                 at = end.end() if end else len(source)
-                self._end(len(self.elements) - 1)
+                self._close(len(self._open.stack) - 1)
             else:
-                open_at.append(len(self.elements) - 1)
+                self._open.push(element)
         if at < len(source):
-            self.texts.append(source[at:])
-        while open_at:
-            self._end(open_at.pop())
+            self._text(source[at:])
+
+    def _text(self, text: str) -> None:
+        if text:
+            self.texts.append(text)
+            self.text_parents.append(self._open.stack[-1].number if self._open.stack else -1)
+
+    def _add(self, tag: str, raw: str) -> Element:
+        number = len(self.elements)
+        parent = self._open.stack[-1].number if self._open.stack else -1
+        element = Element(tag, raw, number, parent, len(self.texts))
+        self.elements.append(element)
+        self._tags.setdefault(tag, []).append(number)
+        return element
+
+    def _finish(self, element: Element) -> None:
+        element.text_to, element.last = len(self.texts), len(self.elements) - 1
+
+    def _close(self, place: int) -> None:
+        """End the open elements from ``place`` on."""
+        stack, pop = self._open.stack, self._open.pop
+        while len(stack) > place:
+            self._finish(pop())
+
+    def _start_tag(self, tag: str) -> None:
+        """End what this start tag ends."""
+        opened, places = self._open, self._open.places
+        if places.get("head") and tag not in _HEAD:
+            self._close(places["head"][-1])
+        if tag in _ENDS:
+            ended, bounds = _ENDS[tag]
+            if any(places.get(t) for t in ended):
+                # The elements to end that lie within the innermost bound.
+                bound = opened.innermost(bounds)
+                inside = [p[bisect_right(p, bound)] for t in ended if (p := places.get(t)) and p[-1] > bound]
+                if inside:
+                    self._close(min(inside) if tag in _TABLE_PARTS else max(inside))
+        if tag in _ENDS_P and (p := places.get("p")):
+            if p[-1] > max(opened.scopes[-1] if opened.scopes else -1, opened.innermost(("button",))):
+                self._close(p[-1])
+        if tag in _HEADINGS and opened.stack and opened.stack[-1].tag in _HEADINGS:
+            self._close(len(opened.stack) - 1)
 
-    def _end(self, i: int) -> None:
-        self.elements[i].text_to, self.elements[i].last = len(self.texts), len(self.elements) - 1
+    def _end_tag(self, tag: str) -> None:
+        """End the innermost open element of this tag and all in it, if the end tag reaches it."""
+        opened = self._open
+        if tag in _HEADINGS:
+            place = opened.innermost(_HEADINGS)
+        else:
+            own = opened.places.get(tag)
+            place = own[-1] if own else -1
+        if place < 0:
+            return
+        if tag in _TABLE_PARTS:
+            bound = opened.innermost(("table",))
+        elif tag in ("table", "body", "html"):
+            bound = -1
+        elif tag in _BLOCK:
+            bound = opened.scopes[-1] if opened.scopes else -1
+            if tag == "li":
+                bound = max(bound, opened.innermost(("ol", "ul")))
+        else:
+            bound = opened.blocks[-1] if opened.blocks else -1
+        if bound <= place:
+            self._close(place)
 
     def find_all(self, tag: str, classes: tuple[str, ...] = (), exact_class: str | None = None, inside: Element | None = None):
         """Matching elements in order; with ``inside`` only descendants of that element."""
-        first, last = 0, len(self.elements) - 1
+        numbers = self._tags.get(tag, ())
+        first, end = 0, len(numbers)
         if inside is not None:
-            first, last = self.elements.index(inside) + 1, inside.last
-        for i in range(first, last + 1):
-            if self.elements[i].matches(tag, classes, exact_class):
-                yield self.elements[i]
+            first, end = bisect_right(numbers, inside.number), bisect_right(numbers, inside.last)
+        for i in range(first, end):
+            found = self.elements[numbers[i]]
+            if found.matches(classes, exact_class):
+                yield found
 
     def text(self, element: Element | None) -> str | None:
         """All text in an element, character references decoded."""
-        return None if element is None else html.unescape("".join(self.texts[element.text_from : element.text_to]))
+        if element is None:
+            return None
+        text = "".join(self.texts[element.text_from : element.text_to])
+        return html.unescape(text) if "&" in text else text
 
 
 def absolute(page_url: str | None, href: str) -> str | None:

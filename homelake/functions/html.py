@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,16 +39,15 @@ class Items:
     value: Selector
     title: Selector | None = None
 
-    def read(self, page: Page) -> list[dict]:
-        out = []
+    def read(self, page: Page, labels: list[str | None], values: list[str | None]) -> None:
+        """Append the labels and values of a page's blocks."""
         for block in self.item.all(page):
             if self.title is not None:
-                label = page.text(self.title.first(page, block))
+                labels.append(page.text(self.title.first(page, block)))
             else:
-                classes = (e.attributes.get("class", "") for e in page.find_all("i", inside=block))
-                label = " " + " ".join(" ".join(classes).split()) + " "
-            out.append({"label": label, "value": page.text(self.value.first(page, block))})
-        return out
+                classes = [c for e in page.find_all("i", inside=block) for c in e.classes]
+                labels.append(" " + " ".join(classes) + " ")
+            values.append(page.text(self.value.first(page, block)))
 
 
 def element(tag: str, *classes: str, exact_class: str | None = None) -> Selector:
@@ -63,15 +62,23 @@ def fields(html: Column | str, texts: dict[str, Selector] = {}, items: dict[str,
     """
     kinds = [f"`{n}` string" for n in texts] + [f"`{n}` array<struct<label:string,value:string>>" for n in items]
 
-    @F.pandas_udf(", ".join(kinds))
-    def read(pages: pd.Series) -> pd.DataFrame:
-        rows = []
+    @F.arrow_udf("struct<" + ", ".join(k.replace("` ", "`:", 1) for k in kinds) + ">")
+    def read(pages: pa.Array) -> pa.Array:
+        heads = {n: [] for n in texts}
+        labels, values = {n: [] for n in items}, {n: [] for n in items}
+        ends = {n: [0] for n in items}
         for source in pages:
-            page = Page(source or "")
-            rows.append(
-                [page.text(s.first(page)) for s in texts.values()] + [i.read(page) for i in items.values()]
-            )
-        return pd.DataFrame(rows, columns=[*texts, *items])
+            page = Page(source.as_py() or "")
+            for n, selector in texts.items():
+                heads[n].append(page.text(selector.first(page)))
+            for n, item in items.items():
+                item.read(page, labels[n], values[n])
+                ends[n].append(len(labels[n]))
+        columns = [pa.array(heads[n], pa.string()) for n in texts]
+        for n in items:
+            pairs = pa.StructArray.from_arrays([pa.array(x[n], pa.string()) for x in (labels, values)], ["label", "value"])
+            columns.append(pa.ListArray.from_arrays(pa.array(ends[n], pa.int32()), pairs))
+        return pa.StructArray.from_arrays(columns, [*texts, *items])
 
     return read(_col(html))
 
@@ -118,13 +125,13 @@ def links(html: Column | str, page_url: Column | str, link_class: str | None = N
     """Addresses of a page's links in order, repeats kept, relative ones made absolute."""
     classes = (link_class,) if link_class else ()
 
-    @F.pandas_udf("array<string>")
-    def read(pages: pd.Series, urls: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def read(pages: pa.Array, urls: pa.Array) -> pa.Array:
         out = []
         for source, url in zip(pages, urls, strict=True):
-            page = Page(source or "")
+            page = Page(source.as_py() or "")
             anchors = (a.attributes.get("href", "") for a in page.find_all("a", classes))
-            out.append([absolute(url, href) for href in anchors if href])
-        return pd.Series(out)
+            out.append([absolute(url.as_py(), href) for href in anchors if href])
+        return pa.array(out, pa.list_(pa.string()))
 
     return read(_col(html), _col(page_url))

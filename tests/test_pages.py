@@ -1,6 +1,9 @@
+import time
+
 from pyspark.sql import functions as F
 
 from homelake.functions import html as H
+from homelake.functions.dom import Page
 from homelake.plans import crawl
 
 
@@ -87,3 +90,53 @@ def test_payloads_are_split_and_whole(spark):
     assert {r.main_page_url: r.subpage_count for r in rows} == {"u/p0": 900, "u/p1": 90, "u/p2": 0}
     assert max(len(r.subpage_data) for r in rows) < 200
     assert sorted(i.post_id for r in rows for i in r.subpage_data) == list(range(990))
+
+
+def texts(page, tag):
+    page = Page(page)
+    return [page.text(e) for e in page.find_all(tag)]
+
+
+def test_end_tags_that_a_page_leaves_out():
+    assert texts("<ul><li>one<li>two<ul><li>a<li>b</ul><li>three</ul>", "li") == ["one", "twoab", "a", "b", "three"]
+    assert texts("<p>a<p>b<div>c</div>d", "p") == ["a", "b"]
+    assert texts("<div><p>a</div>b<p>c<ul><li>d</ul>", "p") == ["a", "c"]
+    assert texts("<table><tr><td>1<td>2<tr><td>3<td><table><tr><td>x<td>y</table>z</table>", "td") == ["1", "2", "3", "xyz", "x", "y"]
+    assert texts("<table><thead><tr><th>a<tbody><tr><th>b<td>c</table>d", "tr") == ["a", "bc"]
+    assert texts("<dl><dt>a<dd>b<dt>c<dd>d</dl>", "dd") == ["b", "d"]
+    assert texts("<select><option>a<option>b</select>c", "option") == ["a", "b"]
+    assert texts("<h1>a<h2>b</h2>c", "h1") == ["a"]
+    assert texts("<head><title>a<b></title><p>c", "head") == ["a<b>"]
+
+
+def test_end_tags_that_end_nothing():
+    assert texts("<div><span>a</div>b</span>c", "div") == ["a"]
+    assert texts("<span>a<div>b</span>c</div>d</span>e", "span") == ["abcd"]
+    assert texts("<table><tr><td>a</div></p>b</td></tr></table>", "td") == ["ab"]
+    assert texts("<div><table><tr><td>a</div>b</table>c</div>d", "div") == ["abc"]
+
+
+def test_time_grows_with_the_page():
+    """Each case took time by the square of its size with a search through what is open."""
+    block = '<div class="i"><span class="t">x</span><span class="v">y</span></div>'
+    cases = {
+        "items": block, "stray": "<div></u>", "open": "<div><b>", "paragraphs": "<p><i>x", "lists": "<ul><li>", "tables": "<table><tr><td>",
+    }
+    for name, part in cases.items():
+        seconds = []
+        for n in (3000, 24_000):
+            best = []
+            for _ in range(3):
+                start = time.process_time()
+                page = Page(part * n)
+                found = sum(1 for e in page.find_all("div", ("i",)) for _ in page.find_all("span", ("v",), inside=e))
+                best.append(time.process_time() - start)
+            assert found == (n if name == "items" else 0)
+            seconds.append(min(best))
+        assert seconds[1] < 30 * seconds[0] + 0.2, (name, seconds)
+
+
+def test_fields_of_pages_with_open_items(spark):
+    page = '<ul><li class="i"><span class="t">Giá<span class="v">5</span><li class="i"><span class="t">Khu</span><span class="v">x</ul>after'
+    found = one(spark, page, H.fields("html", items={"x": H.Items(H.element("li", "i"), H.element("span", "v"), H.element("span", "t"))})["x"])
+    assert [(r.label, r.value) for r in found] == [("Giá5", "5"), ("Khu", "x")]
