@@ -14,15 +14,19 @@ import re
 from bisect import bisect_right
 from urllib.parse import urljoin
 
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+# Comments and declarations; elements whose content is no markup, with it; tags.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
+    rf"|<(iframe|noembed|noframes|script|style|textarea|title)(?=[\s/>])({_ATTRIBUTES})>(.*?)(?:</\1\s*>|\Z)"
+    rf"|<(/?)([A-Za-z][^\s/>]*+)({_ATTRIBUTES})>",
+    re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 
-# Fixed values, from the HTML standard: elements without an end tag; those whose content is no markup
-# and no text here; those whose content is text alone.
+# Fixed values, from the HTML standard: elements without an end tag; those whose content is text, while
+# that of the others without markup is not shown.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNREAD = frozenset("iframe noembed noframes script style".split())
 _PLAIN = frozenset("textarea title".split())
 # Start tags that end an open p; elements that an end tag or a start tag does not reach through.
 _ENDS_P = frozenset(
@@ -38,7 +42,7 @@ _SECTIONS = frozenset(
 _BLOCK = _ENDS_P | _SECTIONS | _SCOPE | {"p"}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Which open elements a start tag ends, and the elements it does not look beyond.
-_ENDS = {
+_ENDING = {
     "li": (("li",), _SECTIONS),
     "dt": (("dt", "dd"), _SECTIONS),
     "dd": (("dt", "dd"), _SECTIONS),
@@ -57,194 +61,224 @@ _TABLE_PARTS = frozenset("tbody td tfoot th thead tr".split())
 _HEAD = frozenset("base link meta noscript script style template title".split())
 
 
-class Element:
-    __slots__ = ("tag", "raw", "number", "parent", "_attributes", "_classes", "text_from", "text_to", "last")
-
-    def __init__(self, tag: str, raw: str, number: int, parent: int, text_from: int):
-        self.tag, self.raw, self.number, self.parent = tag, raw, number, parent
-        self._attributes = self._classes = None
-        self.text_from = text_from  # place in the page's texts
-        self.text_to = self.last = -1  # end of its texts, and its last descendant
-
-    @property
-    def attributes(self) -> dict[str, str]:
-        """By lower-case name; of repeated names the first counts."""
-        if self._attributes is None:
-            self._attributes = {}
-            if self.raw:
-                for name, double, single, bare in _ATTRIBUTE.findall(self.raw):
-                    value = double or single or bare
-                    self._attributes.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
-        return self._attributes
-
-    @property
-    def classes(self) -> list[str]:
-        if self._classes is None:
-            self._classes = self.attributes.get("class", "").split()
-        return self._classes
-
-    def matches(self, classes: tuple[str, ...], exact_class: str | None) -> bool:
-        if exact_class is not None and self.attributes.get("class", "") != exact_class:
-            return False
-        return all(c in self.classes for c in classes)
-
-
-class _Open:
-    """Open elements, and for each kind of them the places of those that are open."""
-
-    def __init__(self):
-        self.stack: list[Element] = []
-        self.places: dict[str, list[int]] = {}
-        self.blocks: list[int] = []  # places of open blocks, and of what bounds a scope
-        self.scopes: list[int] = []
-
-    def push(self, element: Element) -> None:
-        place, tag = len(self.stack), element.tag
-        self.places.setdefault(tag, []).append(place)
-        self.stack.append(element)
-        if tag in _BLOCK:
-            self.blocks.append(place)
-            if tag in _SCOPE:
-                self.scopes.append(place)
-
-    def pop(self) -> Element:
-        element = self.stack.pop()
-        tag = element.tag
-        self.places[tag].pop()
-        if tag in _BLOCK:
-            self.blocks.pop()
-            if tag in _SCOPE:
-                self.scopes.pop()
-        return element
-
-    def innermost(self, tags) -> int:
-        """Place of the innermost open element of these tags; -1 without one."""
-        places = self.places
-        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
-
-
 class Page:
-    """Elements in order, to any depth, and the texts between tags."""
+    """Elements by number, to any depth, and the texts between tags.
+
+    For each element: ``tags``, ``parents`` (-1 outside of all), ``lasts`` (number of the last element
+    in it), and ``starts`` and ``ends`` in ``texts``. ``text_parents`` has the element of each text.
+    """
 
     def __init__(self, source: str):
-        self.elements: list[Element] = []
+        self.tags: list[str] = []
+        self.parents: list[int] = []
+        self.lasts: list[int] = []
+        self.starts: list[int] = []
+        self.ends: list[int] = []
         self.texts: list[str] = []
-        self.text_parents: list[int] = []  # number of the element each text is in; -1 outside of all
-        self._open = _Open()
-        self._tags: dict[str, list[int]] = {}
+        self.text_parents: list[int] = []
+        self._raw: list[str] = []
+        self._attributes: dict[int, dict[str, str]] = {}
+        self._numbers: dict[str, list[int]] = {}
         self._read(source)
-        self._close(0)
+        del self._stack, self._places, self._blocks, self._scopes
 
     def _read(self, source: str) -> None:
-        at, last = 0, source.rfind(">")
-        find = _MARKUP.search
-        while at <= last and (found := find(source, at)):
-            if found.start() > at:
-                self._text(source[at : found.start()])
-            at = found.end()
-            tag = found[2]
+        # What is open: numbers, the places of each tag among them, those of blocks and of scopes.
+        self._stack, self._places, self._blocks, self._scopes = stack, places, blocks, scopes = [], {}, [], []
+        tags, parents, lasts, starts, ends, raws = self.tags, self.parents, self.lasts, self.starts, self.ends, self._raw
+        texts, text_parents, numbers = self.texts, self.text_parents, self._numbers
+        last = source.rfind(">") + 1
+        parts = _MARKUP.split(source[:last])
+        parts[-1] += source[last:]
+        for at in range(0, len(parts), 7):
+            if parts[at]:
+                texts.append(parts[at])
+                text_parents.append(stack[-1] if stack else -1)
+            if at + 1 == len(parts):
+                break
+            tag = parts[at + 5]
             if tag is None:
-                continue
+                tag = parts[at + 1]
+                if tag is None:
+                    continue
+                raw, content = parts[at + 2], parts[at + 3]
+            else:
+                raw, content = parts[at + 6], None
             tag = tag.lower()
-            if found[1]:
+            if parts[at + 4]:
                 self._end_tag(tag)
                 continue
-            self._start_tag(tag)
-            element = self._add(tag, found[3])
-            if tag in _VOID:
-                self._finish(element)
-            elif tag in _UNREAD or tag in _PLAIN:
-                self._open.push(element)
-                end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-                if tag in _PLAIN:
-                    self._text(source[at : end.start() if end else len(source)])
-                at = end.end() if end else len(source)
-                self._close(len(self._open.stack) - 1)
+            if tag in _ENDING or tag in _ENDS_P or "head" in places:
+                self._start_tag(tag)
+            number = len(tags)
+            tags.append(tag)
+            parents.append(stack[-1] if stack else -1)
+            starts.append(len(texts))
+            raws.append(raw)
+            if tag in numbers:
+                numbers[tag].append(number)
             else:
-                self._open.push(element)
-        if at < len(source):
-            self._text(source[at:])
-
-    def _text(self, text: str) -> None:
-        if text:
-            self.texts.append(text)
-            self.text_parents.append(self._open.stack[-1].number if self._open.stack else -1)
-
-    def _add(self, tag: str, raw: str) -> Element:
-        number = len(self.elements)
-        parent = self._open.stack[-1].number if self._open.stack else -1
-        element = Element(tag, raw, number, parent, len(self.texts))
-        self.elements.append(element)
-        self._tags.setdefault(tag, []).append(number)
-        return element
-
-    def _finish(self, element: Element) -> None:
-        element.text_to, element.last = len(self.texts), len(self.elements) - 1
+                numbers[tag] = [number]
+            if content is not None or tag in _VOID:
+                if content and tag in _PLAIN:
+                    texts.append(content)
+                    text_parents.append(number)
+                lasts.append(number)
+                ends.append(len(texts))
+                continue
+            lasts.append(-1)
+            ends.append(-1)
+            place = len(stack)
+            if tag in places:
+                places[tag].append(place)
+            else:
+                places[tag] = [place]
+            stack.append(number)
+            if tag in _BLOCK:
+                blocks.append(place)
+                if tag in _SCOPE:
+                    scopes.append(place)
+        self._close(0)
 
     def _close(self, place: int) -> None:
         """End the open elements from ``place`` on."""
-        stack, pop = self._open.stack, self._open.pop
+        stack, places, tags = self._stack, self._places, self.tags
+        text, last = len(self.texts), len(tags) - 1
         while len(stack) > place:
-            self._finish(pop())
+            number = stack.pop()
+            self.ends[number], self.lasts[number] = text, last
+            tag = tags[number]
+            own = places[tag]
+            own.pop()
+            if not own:
+                del places[tag]
+            if tag in _BLOCK:
+                self._blocks.pop()
+                if tag in _SCOPE:
+                    self._scopes.pop()
+
+    def _innermost(self, wanted) -> int:
+        """Place of the innermost open element of these tags; -1 without one."""
+        places = self._places
+        return max((places[t][-1] for t in wanted if t in places), default=-1)
 
     def _start_tag(self, tag: str) -> None:
         """End what this start tag ends."""
-        opened, places = self._open, self._open.places
-        if places.get("head") and tag not in _HEAD:
+        places = self._places
+        if "head" in places and tag not in _HEAD:
             self._close(places["head"][-1])
-        if tag in _ENDS:
-            ended, bounds = _ENDS[tag]
-            if any(places.get(t) for t in ended):
+        if tag in _ENDING:
+            ended, bounds = _ENDING[tag]
+            if any(t in places for t in ended):
                 # The elements to end that lie within the innermost bound.
-                bound = opened.innermost(bounds)
-                inside = [p[bisect_right(p, bound)] for t in ended if (p := places.get(t)) and p[-1] > bound]
+                bound = self._innermost(bounds)
+                inside = [places[t][bisect_right(places[t], bound)] for t in ended if t in places and places[t][-1] > bound]
                 if inside:
                     self._close(min(inside) if tag in _TABLE_PARTS else max(inside))
-        if tag in _ENDS_P and (p := places.get("p")):
-            if p[-1] > max(opened.scopes[-1] if opened.scopes else -1, opened.innermost(("button",))):
-                self._close(p[-1])
-        if tag in _HEADINGS and opened.stack and opened.stack[-1].tag in _HEADINGS:
-            self._close(len(opened.stack) - 1)
+        if tag in _ENDS_P and "p" in places:
+            p = places["p"][-1]
+            if p > max(self._scopes[-1] if self._scopes else -1, self._innermost(("button",))):
+                self._close(p)
+        if tag in _HEADINGS and self._stack and self.tags[self._stack[-1]] in _HEADINGS:
+            self._close(len(self._stack) - 1)
 
     def _end_tag(self, tag: str) -> None:
         """End the innermost open element of this tag and all in it, if the end tag reaches it."""
-        opened = self._open
+        places = self._places
         if tag in _HEADINGS:
-            place = opened.innermost(_HEADINGS)
+            place = self._innermost(_HEADINGS)
         else:
-            own = opened.places.get(tag)
-            place = own[-1] if own else -1
+            place = places[tag][-1] if tag in places else -1
         if place < 0:
             return
-        if tag in _TABLE_PARTS:
-            bound = opened.innermost(("table",))
+        if place + 1 == len(self._stack):
+            bound = -1
+        elif tag in _TABLE_PARTS:
+            bound = self._innermost(("table",))
         elif tag in ("table", "body", "html"):
             bound = -1
         elif tag in _BLOCK:
-            bound = opened.scopes[-1] if opened.scopes else -1
+            bound = self._scopes[-1] if self._scopes else -1
             if tag == "li":
-                bound = max(bound, opened.innermost(("ol", "ul")))
+                bound = max(bound, self._innermost(("ol", "ul")))
         else:
-            bound = opened.blocks[-1] if opened.blocks else -1
+            bound = self._blocks[-1] if self._blocks else -1
         if bound <= place:
             self._close(place)
 
-    def find_all(self, tag: str, classes: tuple[str, ...] = (), exact_class: str | None = None, inside: Element | None = None):
+    def attributes(self, number: int) -> dict[str, str]:
+        """By lower-case name; of repeated names the first counts."""
+        found = self._attributes.get(number)
+        if found is None:
+            found = self._attributes[number] = {}
+            raw = self._raw[number]
+            if raw:
+                for name, double, single, bare in _ATTRIBUTE.findall(raw):
+                    value = double or single or bare
+                    found.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
+        return found
+
+    def classes(self, number: int) -> list[str]:
+        return self.attributes(number).get("class", "").split()
+
+    def find_all(self, tag: str, classes: tuple[str, ...] = (), exact_class: str | None = None, inside: int | None = None):
         """Matching elements in order; with ``inside`` only descendants of that element."""
-        numbers = self._tags.get(tag, ())
-        first, end = 0, len(numbers)
+        at = self._next(tag, classes, exact_class, inside, 0)
+        while at is not None:
+            yield self._numbers[tag][at]
+            at = self._next(tag, classes, exact_class, inside, at + 1)
+
+    def first(self, tag: str, classes: tuple[str, ...] = (), exact_class: str | None = None, inside: int | None = None) -> int | None:
+        """The first of ``find_all``; None without one."""
+        at = self._next(tag, classes, exact_class, inside, 0)
+        return None if at is None else self._numbers[tag][at]
+
+    def _next(self, tag, classes, exact_class, inside, at: int) -> int | None:
+        """Index among the elements of ``tag`` of the next match from ``at`` on."""
+        numbers = self._numbers.get(tag)
+        if numbers is None:
+            return None
+        end = len(numbers)
         if inside is not None:
-            first, end = bisect_right(numbers, inside.number), bisect_right(numbers, inside.last)
-        for i in range(first, end):
-            found = self.elements[numbers[i]]
-            if found.matches(classes, exact_class):
-                yield found
+            at = max(at, bisect_right(numbers, inside))
+            last = self.lasts[inside]
+            while at < end and numbers[at] <= last:
+                if self._matches(numbers[at], classes, exact_class):
+                    return at
+                at += 1
+            return None
+        while at < end:
+            if self._matches(numbers[at], classes, exact_class):
+                return at
+            at += 1
+        return None
+
+    def _matches(self, number: int, classes: tuple[str, ...], exact_class: str | None) -> bool:
+        raw = self._raw[number]
+        if "&" not in raw:
+            # Most elements are told by their tag as written, without reading its attributes.
+            if exact_class is not None and exact_class not in raw:
+                return False
+            for name in classes:
+                if name not in raw:
+                    return False
+        if exact_class is None and not classes:
+            return True
+        own = self.attributes(number).get("class", "")
+        if exact_class is not None and own != exact_class:
+            return False
+        if classes:
+            own = own.split()
+            for name in classes:
+                if name not in own:
+                    return False
+        return True
 
-    def text(self, element: Element | None) -> str | None:
+    def text(self, number: int | None) -> str | None:
         """All text in an element, character references decoded."""
-        if element is None:
+        if number is None:
             return None
-        text = "".join(self.texts[element.text_from : element.text_to])
+        text = "".join(self.texts[self.starts[number] : self.ends[number]])
         return html.unescape(text) if "&" in text else text
 
 

@@ -27,7 +27,7 @@ class Selector:
         return page.find_all(self.tag, self.classes, self.exact_class, inside)
 
     def first(self, page: Page, inside=None):
-        return next(self.all(page, inside), None)
+        return page.first(self.tag, self.classes, self.exact_class, inside)
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,7 @@ class Items:
             if self.title is not None:
                 labels.append(page.text(self.title.first(page, block)))
             else:
-                classes = [c for e in page.find_all("i", inside=block) for c in e.classes]
+                classes = [c for e in page.find_all("i", inside=block) for c in page.classes(e)]
                 labels.append(" " + " ".join(classes) + " ")
             values.append(page.text(self.value.first(page, block)))
 
@@ -130,7 +130,7 @@ def links(html: Column | str, page_url: Column | str, link_class: str | None = N
         out = []
         for source, url in zip(pages, urls, strict=True):
             page = Page(source.as_py() or "")
-            anchors = (a.attributes.get("href", "") for a in page.find_all("a", classes))
+            anchors = (page.attributes(a).get("href", "") for a in page.find_all("a", classes))
             out.append([absolute(url.as_py(), href) for href in anchors if href])
         return pa.array(out, pa.list_(pa.string()))
 
