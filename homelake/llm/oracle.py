@@ -110,4 +110,68 @@ select conv_id, coalesce(n, 0)::int as prompt_turns, coalesce(prompt, '') as pro
 from e left join prompts using (conv_id)
 """
 
-SQL = {"op1_mixing": OP1, "op3_warc": OP3, "op7_embeddings": OP7, "op9_spans": OP9, "op10_preferences": OP10}
+OP11 = """with vectors as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+      list_transform(embedding, lambda x: floor(256 * cast(x as double))) as parts
+    from embeddings where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  scores as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as is_same,
+      cast(list_inner_product(a.parts, b.parts) as bigint) as score
+    from vectors a join vectors b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+  positives as (select * from scores where is_same
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+  select p.anchor_id, p.id as positive_id, n.id as negative_id, p.score as positive_score, n.score as negative_score,
+    cast(row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) as integer) as rank
+  from positives p join scores n on n.anchor_id = p.anchor_id and not n.is_same
+    and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+  qualify rank <= 5"""
+
+OP12 = r"""with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+  lists as (select lang, row_number() over () as piece_id, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+  places as (select lang, piece_id, unnest(words) as w1, unnest(range(len(words))) as place from lists),
+  runs as (select lang, w1, lead(w1) over p as w2, lead(w1, 2) over p as w3 from places
+    window p as (partition by piece_id order by place)),
+  phrases as (select lang, 1 as words, w1 as phrase from runs
+    union all select lang, 2, w1 || ' ' || w2 from runs where w2 is not null
+    union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from runs where w3 is not null),
+  counts as (select lang, words, phrase, count(*) as f from phrases group by all),
+  sizes as (select lang, cast(sum(f) as bigint) as n from counts where words = 1 group by 1),
+  candidates as (select lang, words, phrase, f as a, string_split(phrase, ' ') as parts from counts where words > 1 and f >= 10),
+  cuts as (select lang, phrase, a, k, array_to_string(parts[1:k], ' ') as head, array_to_string(parts[k + 1:], ' ') as rest
+    from candidates, (values (1), (2)) t(k) where k < words),
+  scored as (select c.lang, c.phrase, c.a, k, h.f as l, r.f as r,
+      cast((1000000::hugeint * c.a * c.a) // (h.f::hugeint * r.f) as bigint) as score
+    from cuts c join counts h on h.lang = c.lang and h.phrase = head join counts r on r.lang = c.lang and r.phrase = rest),
+  worst as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+  held as (select lang, part, max(a) as longer from (
+    select lang, a, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) as part
+    from candidates where words = 3) group by all),
+  kept as (select w.* from worst w left join held h on h.lang = w.lang and h.part = w.phrase
+    where h.longer is null or 100 * h.longer < 50 * w.a)
+  select k.lang, phrase, a, l, r, n, score, row_number() over (partition by k.lang order by score desc, a desc, phrase) as rank
+  from kept k join sizes s on s.lang = k.lang qualify rank <= 2000"""
+
+# Every given page marks its article, in which only headings and paragraphs are blocks.
+OP13 = r"""with blocks as (
+    select page_id, url, unnest(blocks) as block, unnest(range(len(blocks))) as place
+    from (select page_id, url, string_split_regex(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1)>') as blocks from pages)),
+  decoded as (select page_id, url, place, trim(regexp_replace(replace(regexp_replace(regexp_replace(replace(replace(
+      regexp_replace(replace(block, '<br>', ' '), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;?', '"', 'g'), '&#39;|&#x27;|&apos;', chr(39), 'g'),
+      '&nbsp;', ' '), '[\s\x{00a0}]+', ' ', 'g')) as block from blocks),
+  written as (select page_id, url, place, regexp_replace(block, '&amp;?', '&', 'g') as block from decoded),
+  joined as (select page_id, url, coalesce(string_agg(block, chr(10) order by place) filter (block <> ''), '') as text from written group by 1, 2)
+  select page_id, url, text, cast(length(text) as bigint) as n_chars from joined"""
+
+SQL = {
+    "op1_mixing": OP1,
+    "op3_warc": OP3,
+    "op7_embeddings": OP7,
+    "op9_spans": OP9,
+    "op10_preferences": OP10,
+    "op11_negatives": OP11,
+    "op12_phrases": OP12,
+    "op13_templates": OP13,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language_id, markov, mixing, packing, preferences, simhash, spans, spotsigs, warc
+from . import embeddings, language_id, markov, mixing, negatives, packing, phrases, preferences, simhash, spans, spotsigs, templates, warc
 
 from .oracle import SQL
 
@@ -87,6 +87,20 @@ def op10_preferences(spark, folder):
     )
 
 
+def op11_negatives(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label))
+
+
+def op12_phrases(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op13_templates(spark, folder):
+    return templates.main_texts(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -98,6 +112,9 @@ QUERIES = {
     "op8_spotsigs": op8_spotsigs,
     "op9_spans": op9_spans,
     "op10_preferences": op10_preferences,
+    "op11_negatives": op11_negatives,
+    "op12_phrases": op12_phrases,
+    "op13_templates": op13_templates,
 }
 
 ORACLE: dict[str, str] = dict(SQL)
