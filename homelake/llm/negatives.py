@@ -138,12 +138,14 @@ class Fragment:
             after = min(at + STEP, len(order))
             known = scores.astype(np.float64)
             slack = 0.0 if not whole else 1e-9 * (np.abs(known) + add[after] - take[after])
-            keep = narrowed(rows, known + take[after] - slack, known + add[after] + slack)
+            low, high = known + take[after] - slack, known + add[after] + slack
+            keep = narrowed(rows, np.clip(low, float(_LEAST), float(_MOST)), np.clip(high, float(_LEAST), float(_MOST)))
             if not keep.all():
                 rows, scores, all_rows = rows[keep], scores[keep], False
             if not len(rows):
                 break
-        return rows, scores
+        # Scores beyond 64 bits count as the nearest number of 64 bits.
+        return rows, np.frompyfunc(lambda s: max(_LEAST, min(_MOST, s)), 1, 1)(scores) if whole else scores
 
     def first(self, rows: np.ndarray, scores: np.ndarray, most: int) -> list[tuple]:
         """(score, id, place) of the first rows: higher scores, then smaller ids, null ids last."""
@@ -152,7 +154,7 @@ class Fragment:
             near = np.flatnonzero(scores >= cut)
             rows, scores = rows[near], scores[near]
         found = [
-            (max(_LEAST, min(_MOST, int(s))), None if self.null_ids[r] else int(self.ids[r]), int(self.places[r]))
+            (int(s), None if self.null_ids[r] else int(self.ids[r]), int(self.places[r]))
             for r, s in zip(rows.tolist(), scores.tolist(), strict=True)
         ]
         return sorted(found, key=lambda f: (-f[0], f[1] is None, f[1] or 0, f[2]))[:most]
