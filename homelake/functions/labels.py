@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import UNKNOWN, _col, contains_any, is_blank, is_empty, plain_ascii, squeeze, strip, title_case
+from .text import UNKNOWN, _col, contains_any, first_rule, is_blank, is_empty, plain_ascii, squeeze, strip, title_case
 
 # Legal paper keywords and the message when none is found.
 LEGAL_KEYWORDS = {
@@ -202,16 +202,12 @@ def status_stage(raw: Column | str, plain: Column | str | None = None) -> Column
     plain = plain_ascii(raw) if plain is None else _col(plain)
     stage = F.when(is_blank(raw) | (raw == "(blank)") | is_empty(plain), UNKNOWN)
     stage = stage.when(plain == "khong xac dinh", UNKNOWN)
-    for label, keywords in [(PREPARATION, PREPARATION_KEYWORDS), *STAGE_KEYWORDS]:
-        stage = stage.when(plain.rlike("|".join(keywords)), label)
-    return stage.otherwise(STAGE_OTHER)
+    rules = [(PREPARATION, PREPARATION_KEYWORDS), *STAGE_KEYWORDS]
+    return stage.otherwise(F.coalesce(first_rule(plain, rules), F.lit(STAGE_OTHER)))
 
 
 def property_type(lowered_url: Column | str) -> Column:
-    kind = F.when(is_empty(lowered_url), None)
-    for pattern, label in PROPERTY_TYPES:
-        kind = kind.when(F.contains(_col(lowered_url), F.lit(pattern)), label)
-    return kind
+    return first_rule(lowered_url, [(label, [pattern]) for pattern, label in PROPERTY_TYPES])
 
 
 def property_type_error(url: Column | str, kind: Column | str) -> Column:

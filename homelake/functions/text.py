@@ -7,6 +7,7 @@ U+0020 only, and ``initcap`` starts words after spaces only.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 
@@ -94,10 +95,25 @@ def plain_ascii(c: Column | str) -> Column:
 
 
 def contains_any(c: Column | str, words: list[str]) -> Column:
-    found = F.lit(False)
-    for word in words:
-        found = found | F.contains(_col(c), F.lit(word))
-    return found
+    """If any of the words is in the text; all are looked for in one pass."""
+    return _col(c).rlike("|".join(re.escape(w) for w in words))
+
+
+def first_rule(c: Column | str, rules: list[tuple[str, list[str]]]) -> Column:
+    """The label of the first rule that has a word in the text; null without one.
+
+    One pattern finds the word that decides, and a table gives its label, so that the generated code
+    does not grow with the number of rules.
+    """
+    labels: dict[str, str] = {}
+    for label, words in rules:
+        for word in words:
+            labels.setdefault(word, label)
+    # Each alternative looks for the words of one rule anywhere in the text.
+    places = "|".join(f".*?(?<r{n}>{'|'.join(re.escape(w) for w in words)})" for n, (_, words) in enumerate(rules))
+    found = F.regexp_replace(_col(c), rf"(?s)\A(?:{places}).*\z", "".join(f"${{r{n}}}" for n in range(len(rules))))
+    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return F.try_element_at(table, found)
 
 
 def to_number(c: Column | str) -> Column:

@@ -1,4 +1,5 @@
-"""Missing values: text tokens and non-finite numbers become null, at any nesting depth."""
+"""Missing values: text tokens and non-finite numbers become null, at any nesting depth: in structs,
+arrays and the values of maps."""
 
 from __future__ import annotations
 
@@ -43,6 +44,8 @@ def _finite(c: Column, kind: T.DataType) -> Column:
         return F.when(c.isNotNull(), cleaned)
     if isinstance(kind, T.ArrayType):
         return F.transform(c, lambda item: _finite(item, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, item: _finite(item, kind.valueType))
     return c
 
 
