@@ -74,8 +74,8 @@ def count_rows(df: DataFrame, filters: Mapping[str, Any] | None = None) -> DataF
 
 
 def update_where(df: DataFrame, changes: Mapping[str, Any], filters: Mapping[str, Any]) -> DataFrame:
-    """The table with ``changes`` set on matching rows; one scan, no shuffle."""
-    hit = matching(filters)
+    """The table with ``changes`` set on matching rows; one scan, no shuffle. Filters as in ``conditions``."""
+    hit = conditions(filters)
     types = dict(df.dtypes)
     return df.withColumns(
         {
@@ -87,7 +87,7 @@ def update_where(df: DataFrame, changes: Mapping[str, Any], filters: Mapping[str
 
 def delete_where(df: DataFrame, filters: Mapping[str, Any]) -> DataFrame:
     """The table without matching rows; a comparison with null does not match."""
-    return df.where(~F.coalesce(matching(filters), F.lit(False)))
+    return df.where(~F.coalesce(conditions(filters), F.lit(False)))
 
 
 def page_of(df: DataFrame, page: int, page_size: int, order_by: list[str], columns: list[str] | None = None):

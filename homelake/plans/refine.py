@@ -1,22 +1,28 @@
 """Bronze to silver: one incremental run.
 
 1. Clean the rows of new loads and write them once, split into good and rejected (no shuffle).
-2. Keep the newest good row per URL (one shuffle by URL) and write it as the run's changes.
-3. Append the run's row to the run log: watermark and counts. Only now is the run visible.
+2. Keep the newest good row per URL and write it in the buckets of the clean table (the run's rows
+   are exchanged, by URL).
+3. Merge the two bucket by bucket into the clean table's next version (no shuffle).
+4. Append the run's row to the run log: watermark, and counts taken while steps 1 and 2 were writing.
+   Only now is the run visible.
 
-Steps 1 and 2 overwrite the run's own folders, so a run that failed is simply run again.
+All but the last step overwrite the run's own folders, so a run that failed is simply run again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.keyed import newest_listing
-from ..sources.lake import Lake, RunState
+from ..operators.keyed import newest_listing, upsert_aligned
+from ..sources.lake import KEY, Lake
 from .clean import PENDING, clean, clean_columns
 
+#: Loads of one run: their names pass through the driver.
+LOADS = 1000
+
 
 def routed(staging: DataFrame) -> DataFrame:
     """Good rows carry clean columns and rejected rows carry raw ones; the rest is null.
@@ -42,58 +48,58 @@ def routed(staging: DataFrame) -> DataFrame:
     )
 
 
-def refine_rows(lake: Lake, staging: DataFrame, run: int, feed: str = "refine") -> None:
+def refine_rows(lake: Lake, staging: DataFrame, run: int, feed: str = "refine", loads: list[str] = []) -> None:
     """Put staging rows through run number ``run``; if it is the log's newest run, it is done.
 
     ``feed`` names where the rows come from. Runs are numbered by one feed at a time, and a number
-    that another feed has used is an error rather than a repetition.
+    that another feed has used is an error rather than a repetition. What the log says of the run is
+    counted while its tables are written.
     """
     state = lake.state()
     if run == state.run and feed == state.feed:
         return
     if run <= state.run:
         raise ValueError(f"run {run} of {feed}: the run log is at {state.run} of {state.feed}")
+    buckets = state.buckets or lake.buckets
     folder = lake.path("silver", "routed", f"run={run}")
-    routed(staging).write.mode("overwrite").partitionBy("is_valid").parquet(folder)
-    rows = lake.read_path(folder, schemas.ROUTED)
+    valid = F.col("is_valid").cast("long")
+    split, kept = Observation(), Observation()
+    rows = routed(staging).observe(
+        split, F.sum(valid).alias("good"), F.sum(1 - valid).alias("bad"), F.max(F.unix_micros("created_at")).alias("last")
+    )
+    rows.write.mode("overwrite").partitionBy("is_valid").parquet(folder)
 
-    good = rows.where("is_valid").select(
+    good = lake.read_path(folder, schemas.ROUTED).where("is_valid").select(
         *[F.col(f"v_{c}").alias(c) for c in schemas.CLEAN_COLUMNS], "ingest_seq", "source_file"
     )
-    changes = lake.path("silver", "clean_changes", f"run={run}")
-    newest_listing(good).select(*schemas.CLEAN_COLUMNS).write.mode("overwrite").parquet(changes)
-    lake.commit(_run_row(rows, lake.read_path(changes, schemas.CLEAN), run, state, feed))
-
-
-def _run_row(rows: DataFrame, changes: DataFrame, run: int, state: RunState, feed: str) -> DataFrame:
-    """The run's log row, in one aggregate over what the run has written."""
-    valid = F.col("is_valid").cast("int")
-    facts = rows.select(F.unix_micros("created_at").alias("at"), valid.alias("good"), (1 - valid).alias("bad"), F.lit(0).alias("kept"))
-    kept = changes.select(F.lit(None).cast("long").alias("at"), F.lit(0).alias("good"), F.lit(0).alias("bad"), F.lit(1).alias("kept"))
-    previous = F.lit(state.last_micros).cast("long")
-    return facts.unionByName(kept).agg(
+    newest = newest_listing(good).select(*schemas.CLEAN_COLUMNS).observe(kept, F.count("*").alias("rows"))
+    incoming = lake.write_bucketed(newest.repartition(buckets, KEY), "incoming", run, buckets)
+    merged = upsert_aligned(lake.clean(), incoming, KEY) if state.run else incoming
+    lake.write_bucketed(merged, "clean", run, buckets)
+
+    found = split.get
+    micros = [m for m in (state.last_micros, found["last"]) if m is not None]
+    facts = lake.spark.range(1).select(
         F.lit(run).cast("long").alias("run"),
-        F.timestamp_micros(F.greatest(previous, F.max("at"))).alias("last_date"),
-        F.lit(state.base_run).cast("long").alias("base_run"),
-        F.sum("good").alias("good_rows"),
-        F.sum("bad").alias("error_rows"),
-        (F.sum("good") - F.sum("kept")).alias("duplicate_rows"),
+        F.timestamp_micros(F.lit(max(micros, default=None)).cast("long")).alias("last_date"),
+        F.lit(found["good"] or 0).cast("long").alias("good_rows"),
+        F.lit(found["bad"] or 0).cast("long").alias("error_rows"),
+        F.lit((found["good"] or 0) - (kept.get["rows"] or 0)).cast("long").alias("duplicate_rows"),
         F.current_timestamp().alias("committed_at"),
         F.lit(feed).alias("feed"),
+        F.lit(buckets).alias("buckets"),
+        F.array(*[F.lit(n) for n in loads]).cast("array<string>").alias("loads"),
     )
+    lake.commit(facts)
 
 
-def refine(lake: Lake) -> DataFrame:
+def refine(lake: Lake, loads_per_run: int = LOADS) -> DataFrame:
     """Process the loads that no run has read yet, if any; gives the newest run-log row.
 
-    Loads are told apart by name, whatever their times: one that was committed late is read too.
+    Loads are told apart by name, whatever their times: one that was committed late is read too. A run
+    takes a bounded number of loads, and reads their folders only.
     """
-    loads = lake.unrefined()
-    if not loads.isEmpty():
-        run = lake.state().run + 1
-        path = lake.path("silver", "run_loads", f"run={run}")
-        loads.write.mode("overwrite").parquet(path)
-        wanted = lake.read_path(path, schemas.RUN_LOADS)
-        rows = lake.loaded().join(wanted, "load", "left_semi").where("corrupt_record is null")
-        refine_rows(lake, rows.select(*schemas.STAGING.fieldNames()), run)
-    return lake.run_log().orderBy(F.col("run").desc(), F.col("base_run").desc()).limit(1)
+    while loads := lake.unrefined(loads_per_run):
+        rows = lake.loads(loads).where("corrupt_record is null").select(*schemas.STAGING.fieldNames())
+        refine_rows(lake, rows, lake.state().run + 1, loads=loads)
+    return lake.run_log().orderBy(F.col("run").desc()).limit(1)

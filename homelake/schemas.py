@@ -64,10 +64,11 @@ FILE_LOG = T.StructType(
     ]
 )
 
-# One row is appended per committed load of bronze; other loads are not visible.
+# One row is appended per committed load of bronze, those of a call at once; other loads are not visible.
 LOAD_LOG = T.StructType(
     [
         T.StructField("load", T.StringType()),
+        T.StructField("call", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
@@ -133,26 +134,21 @@ RUN_LOG = T.StructType(
     [
         T.StructField("run", T.LongType()),
         T.StructField("last_date", T.TimestampType()),
-        T.StructField("base_run", T.LongType()),
         T.StructField("good_rows", T.LongType()),
         T.StructField("error_rows", T.LongType()),
         T.StructField("duplicate_rows", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("feed", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("loads", T.ArrayType(T.StringType())),
     ]
 )
 
-# Loads that a silver run has read.
-RUN_LOADS = T.StructType([T.StructField("load", T.StringType())])
-
-# Later changes of rejected rows: the newest change of a row counts.
-ERROR_CHANGES = T.StructType(
+# One row is appended per written version of the error table, with the last run that it holds.
+ERROR_VERSIONS = T.StructType(
     [
-        T.StructField("run", T.LongType()),
-        T.StructField("source_file", T.StringType()),
-        T.StructField("ingest_seq", T.LongType()),
-        T.StructField("retry_status", T.StringType()),
-        T.StructField("deleted", T.BooleanType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("through_run", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
     ]
 )
-CHANGE_LOG = T.StructType([T.StructField("change", T.LongType()), T.StructField("committed_at", T.TimestampType())])

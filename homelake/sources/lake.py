@@ -1,22 +1,31 @@
-"""Table locations, the silver tables and the logs.
+"""Table locations, the bronze and silver tables, and what is committed.
 
-Tables live under ``<root>/<namespace>/<table>``. Each load or run writes its own folder. It
-counts only once its row is in the load log or run log, which is written last; until then it may
-be repeated and overwrites that folder, and nothing of it is visible.
+Tables live under ``<root>/<namespace>/<table>``. Each load or run writes its own folders. It counts
+only once its row is in the load log or run log, which is written last; until then it may be repeated
+and overwrites those folders, and nothing of it is visible.
+
+The clean table is a bucketed table of the session's catalog, one version for each run, with all rows
+of a URL in one bucket: a run's rows are dealt into the same buckets and merged bucket by bucket, so
+that the rows that are already there are never exchanged.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.conditions import conditions
-from ..operators.keyed import latest_per_key, upsert
+from ..operators.conditions import conditions, delete_where, update_where
+
+#: Buckets of the clean table of a new lake; a large one needs one for each some 100 MB.
+BUCKETS = 16
+KEY = "subpage_url"
 
 
 @dataclass(frozen=True)
@@ -24,19 +33,23 @@ class RunState:
     """The newest committed silver run."""
 
     run: int = 0
-    base_run: int = 0
     last_micros: int | None = None
     feed: str | None = None
+    buckets: int | None = None
 
 
 def _readable(loaded: DataFrame) -> DataFrame:
     return loaded.where("corrupt_record is null").select(*schemas.STAGING.fieldNames())
 
 
+_BY_LOAD = T.StructField("load", T.StringType())
+
+
 class Lake:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def path(self, namespace: str, table: str, *parts: str) -> str:
         return "/".join([self.root, namespace, table, *parts])
@@ -53,6 +66,13 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def append(self, df: DataFrame, namespace: str, table: str, load: str | None = None) -> None:
+        """Append rows, or with ``load`` write (or rewrite) that load's own folder."""
+        if load is None:
+            df.write.mode("append").parquet(self.path(namespace, table))
+        else:
+            df.write.mode("overwrite").parquet(self.path(namespace, table, f"load={load}"))
+
     # bronze
 
     def load_log(self) -> DataFrame:
@@ -60,10 +80,15 @@ class Lake:
 
     def loaded(self) -> DataFrame:
         """Rows of committed loads with their load, broken lines included."""
-        stored = T.StructType(schemas.LOADED.fields + [T.StructField("load", T.StringType())])
-        rows = self.read("bronze", "staging", stored)
+        rows = self.read("bronze", "staging", T.StructType(schemas.LOADED.fields + [_BY_LOAD]))
         return rows.join(self.load_log().select("load").distinct(), "load", "left_semi")
 
+    def loads(self, names: list[str]) -> DataFrame:
+        """Rows of a bounded number of loads. Only their folders are listed and scanned."""
+        staging = self.path("bronze", "staging")
+        reader = self.spark.read.schema(T.StructType(schemas.LOADED.fields + [_BY_LOAD])).option("basePath", staging)
+        return reader.parquet(*[f"{staging}/load={n}" for n in names]).where(F.col("load").isin(names))
+
     def staging(self) -> DataFrame:
         return _readable(self.loaded())
 
@@ -83,34 +108,36 @@ class Lake:
         return rows.where(F.col("created_at") > F.timestamp_micros(F.lit(last_micros)))
 
     def new_load(self, name: str) -> str:
-        """The name, or with a number if a committed load has it: no load overwrites another."""
-        used = self.load_log().where((F.col("load") == name) | F.col("load").startswith(name + "~"))
-        n = used.select("load").distinct().count()
+        """The name, or with a number if a committed call has it: no load overwrites another."""
+        used = self.load_log().where((F.col("call") == name) | F.col("call").startswith(name + "~"))
+        n = used.select("call").distinct().count()
         return f"{name}~{n + 1}" if n else name
 
-    def is_committed(self, load: str) -> bool:
-        return not self.load_log().where(F.col("load") == load).isEmpty()
+    def is_committed(self, call: str) -> bool:
+        return not self.load_log().where(F.col("call") == call).isEmpty()
 
-    def add_load(self, rows: DataFrame, load: str, log=None) -> None:
-        """Write a load and make it visible. ``log``: called between the two, with the load's rows."""
+    def add_load(self, rows: DataFrame, load: str) -> None:
+        """Write a load and make it visible."""
         self.append(rows, "bronze", "staging", load)
-        if log is not None:
-            log(self.read_path(self.path("bronze", "staging", f"load={load}"), schemas.LOADED))
-        row = self.spark.range(1).select(F.lit(load).alias("load"), F.current_timestamp().alias("committed_at"))
-        row.write.mode("append").parquet(self.path("bronze", "load_log"))
+        self.commit_loads([load], load)
 
-    def unrefined(self) -> DataFrame:
-        """Committed loads that no committed silver run has read."""
-        done = self.read("silver", "run_loads", T.StructType(schemas.RUN_LOADS.fields + [T.StructField("run", T.LongType())]))
-        done = done.where(F.col("run") <= self.state().run).select("load")
-        return self.load_log().select("load").distinct().join(done, "load", "left_anti")
+    def commit_loads(self, loads: Iterable[str], call: str) -> None:
+        """Make the loads of a call visible, all at once: one file."""
+        rows = self.spark.createDataFrame([(n, call) for n in loads], "load string, call string")
+        rows = rows.withColumn("committed_at", F.current_timestamp()).coalesce(1)
+        rows.write.mode("append").parquet(self.path("bronze", "load_log"))
+
+    def unrefined(self, most: int) -> list[str]:
+        """The first ``most`` committed loads that no committed silver run has read."""
+        done = self.run_log().select(F.explode("loads").alias("load"))
+        rows = self.load_log().select("load").distinct().join(done, "load", "left_anti").orderBy("load").limit(most)
+        return [r.load for r in rows.collect()]
 
     def file_log(self) -> DataFrame:
-        """Files of committed loads."""
-        stored = T.StructType(schemas.FILE_LOG.fields + [T.StructField("load", T.StringType())])
-        rows = self.read("bronze", "processed_files_log", stored)
-        rows = rows.join(self.load_log().select("load").distinct(), "load", "left_semi")
-        return rows.select(*schemas.FILE_LOG.fieldNames())
+        """Files of committed calls."""
+        rows = self.read("bronze", "processed_files_log", T.StructType(schemas.FILE_LOG.fields + [_BY_LOAD]))
+        calls = self.load_log().select(F.col("call").alias("load")).distinct()
+        return rows.join(calls, "load", "left_semi").select(*schemas.FILE_LOG.fieldNames())
 
     def failed_files(self) -> DataFrame:
         return self.file_log().where("status = 'failed'")
@@ -118,21 +145,14 @@ class Lake:
     def last_processed(self) -> DataFrame:
         return self.file_log().agg(F.max("processed_at").alias("last_processed_at"))
 
-    def append(self, df: DataFrame, namespace: str, table: str, load: str | None = None) -> None:
-        """Append rows, or with ``load`` write (or rewrite) that load's own folder."""
-        if load is None:
-            df.write.mode("append").parquet(self.path(namespace, table))
-        else:
-            df.write.mode("overwrite").parquet(self.path(namespace, table, f"load={load}"))
-
     # silver
 
     def run_log(self) -> DataFrame:
         return self.read("silver", "run_log", schemas.RUN_LOG)
 
     def state(self) -> RunState:
-        facts = F.struct("run", "base_run", F.unix_micros("last_date").alias("last_micros"), "feed")
-        newest = self.run_log().agg(F.max(facts).alias("newest")).first().newest
+        facts = F.struct("run", F.unix_micros("last_date").alias("last_micros"), "feed", "buckets")
+        newest = self.run_log().agg(F.max_by(facts, "run").alias("newest")).first().newest
         return RunState(**newest.asDict()) if newest else RunState()
 
     def last_transform_date(self) -> DataFrame:
@@ -140,91 +160,80 @@ class Lake:
 
     def commit(self, row: DataFrame) -> None:
         """Make a run visible. One row, one file."""
-        row.select(*schemas.RUN_LOG.fieldNames()).coalesce(1).write.mode("append").parquet(
-            self.path("silver", "run_log")
+        row.select(*schemas.RUN_LOG.fieldNames()).coalesce(1).write.mode("append").parquet(self.path("silver", "run_log"))
+
+    def _name(self, table: str, run: int) -> str:
+        """Name of a silver table in the catalog; each lake has its own database."""
+        database = f"lake_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_silver"
+        self.spark.sql(f"create database if not exists {database} location '{self.path('silver', '')}'")
+        return f"{database}.{table}_{run}"
+
+    def bucketed(self, table: str, run: int, buckets: int) -> DataFrame:
+        """A version of a bucketed table, made known to the catalog if another session wrote it."""
+        name = self._name(table, run)
+        self.spark.sql(
+            f"create table if not exists {name} ({schemas.CLEAN.toDDL()}) using parquet"
+            f" clustered by ({KEY}) sorted by ({KEY}) into {buckets} buckets location '{self.path('silver', table, f'run={run}')}'"
         )
+        return self.spark.table(name)
 
-    def _routed_errors(self) -> DataFrame:
-        partitions = [T.StructField("run", T.LongType()), T.StructField("is_valid", T.BooleanType())]
-        rows = self.read("silver", "routed", T.StructType(schemas.ERRORS.fields + partitions))
-        return rows.where(~F.col("is_valid") & (F.col("run") <= self.state().run)).drop("is_valid")
-
-    def errors(self) -> DataFrame:
-        """Rejected rows of all committed runs, with their run number, as later changed."""
-        stored = T.StructType(schemas.ERROR_CHANGES.fields + [T.StructField("change", T.LongType())])
-        changes = self.read("silver", "error_changes", stored)
-        log = self.read("silver", "change_log", schemas.CHANGE_LOG)
-        changes = changes.join(log.select("change").distinct(), "change", "left_semi")
-        newest = changes.groupBy("run", "source_file", "ingest_seq").agg(
-            F.max_by(F.struct("retry_status", "deleted"), "change").alias("now")
-        )
-        rows, keys = self._routed_errors(), ["run", "source_file", "ingest_seq"]
-        newest = newest.select(*[F.col(k).alias(f"_{k}") for k in keys], "now")
-        same = F.lit(True)
-        for k in keys:
-            same = same & rows[k].eqNullSafe(F.col(f"_{k}"))
-        joined = rows.join(newest, same, "left").where(~F.coalesce("now.deleted", F.lit(False)))
-        status = F.when(F.col("now").isNull(), F.col("retry_status")).otherwise(F.col("now.retry_status"))
-        return joined.withColumn("retry_status", status).select(*rows.columns)
-
-    def change_errors(self, filters: dict, retry_status: str | None = None, delete: bool = False) -> int:
-        """Set the retry status of rejected rows, or delete them; gives the number of rows.
-
-        Only the keys of changed rows are written. The change counts once it is in the change log.
-        """
-        log = self.read("silver", "change_log", schemas.CHANGE_LOG)
-        number = (log.agg(F.max("change").alias("last")).first().last or 0) + 1
-        rows = self.errors().where(conditions(filters))
-        status = F.col("retry_status") if delete else F.lit(retry_status)
-        rows = rows.select("run", "source_file", "ingest_seq", status.cast("string").alias("retry_status"), F.lit(delete).alias("deleted"))
-        path = self.path("silver", "error_changes", f"change={number}")
-        rows.write.mode("overwrite").parquet(path)
-        row = self.spark.range(1).select(F.lit(number).cast("long").alias("change"), F.current_timestamp().alias("committed_at"))
-        row.write.mode("append").parquet(self.path("silver", "change_log"))
-        return self.read_path(path, schemas.ERROR_CHANGES).count()
+    def write_bucketed(self, rows: DataFrame, table: str, run: int, buckets: int) -> DataFrame:
+        """Write (or rewrite) a version of a bucketed table. Rows that are dealt by the key already make
+        one file for each bucket."""
+        name = self._name(table, run)
+        self.spark.sql(f"drop table if exists {name}")
+        writer = rows.write.mode("overwrite").option("path", self.path("silver", table, f"run={run}"))
+        writer.bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(name)
+        return self.spark.table(name)
 
     def clean(self) -> DataFrame:
-        """The clean table: the last compacted base with later runs put in, newest run first."""
-        state = self.state()
-        base = self.read_path(self.path("silver", "clean_base", f"run={state.base_run}"), schemas.CLEAN)
-        changes = self.read(
-            "silver", "clean_changes", T.StructType(schemas.CLEAN.fields + [T.StructField("run", T.LongType())])
-        ).where((F.col("run") > state.base_run) & (F.col("run") <= state.run))
-        newest = latest_per_key(changes, "subpage_url", [F.col("run").desc()])
-        return upsert(base, newest, "subpage_url")
-
-    def compact(self) -> None:
-        """Fold committed runs into a new base. Readers keep the old base until the commit."""
+        """The clean table as of the newest committed run."""
         state = self.state()
-        if state.run == state.base_run:
-            return
-        self.clean().write.mode("overwrite").parquet(self.path("silver", "clean_base", f"run={state.run}"))
-        last = self.run_log().where(F.col("run") == state.run).orderBy(F.col("base_run").desc()).limit(1)
-        self.commit(
-            last.withColumn("base_run", F.lit(state.run).cast("long")).withColumn(
-                "committed_at", F.current_timestamp()
-            )
-        )
+        if not state.run:
+            return self.spark.createDataFrame([], schemas.CLEAN)
+        return self.bucketed("clean", state.run, state.buckets)
 
-    def vacuum(self, hours: float = 24) -> list[str]:
-        """Remove runs and bases that a newer base holds, once that base is ``hours`` old.
+    def _routed_errors(self, after: int, until: int) -> DataFrame:
+        """Rejected rows of the runs after one and up to another."""
+        partitions = [T.StructField("run", T.LongType()), T.StructField("is_valid", T.BooleanType())]
+        rows = self.read("silver", "routed", T.StructType(schemas.ERRORS.fields + partitions))
+        rows = rows.where(~F.col("is_valid") & (F.col("run") > after) & (F.col("run") <= until))
+        return rows.select(*schemas.ERRORS.fieldNames(), "run")
+
+    def error_version(self) -> tuple[int, int]:
+        """The newest written version of the error table and the last run that it holds; zeros without one."""
+        log = self.read("silver", "error_versions", schemas.ERROR_VERSIONS)
+        newest = log.agg(F.max(F.struct("version", "through_run")).alias("newest")).first().newest
+        return (newest.version, newest.through_run) if newest else (0, 0)
+
+    def errors_of(self, version: int, run: int) -> DataFrame:
+        """Rejected rows of a written version, or of one run."""
+        if not version:
+            return self._routed_errors(run - 1, run)
+        fields = schemas.ERRORS.fields + [T.StructField("run", T.LongType())]
+        return self.read_path(self.path("silver", "errors", f"version={version}"), T.StructType(fields))
 
-        Until then a reader that began before the base was committed may still use them. Gives the
-        folders removed.
-        """
-        state = self.state()
-        base = self.run_log().where((F.col("base_run") == state.base_run) & (F.col("base_run") > 0))
-        since = base.agg(F.min("committed_at") <= F.current_timestamp() - F.make_dt_interval(hours=F.lit(hours))).first()[0]
-        if not since:
-            return []
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        gone = []
-        for table, last in (("clean_changes", state.base_run), ("clean_base", state.base_run - 1)):
-            folder = jvm.org.apache.hadoop.fs.Path(self.path("silver", table))
-            files = folder.getFileSystem(conf)
-            for entry in files.listStatus(folder) if files.exists(folder) else []:
-                name = entry.getPath().getName()
-                if name.startswith("run=") and int(name[4:]) <= last:
-                    files.delete(entry.getPath(), True)
-                    gone.append(f"{table}/{name}")
-        return sorted(gone)
+    def errors(self) -> DataFrame:
+        """Rejected rows with their run number: the newest written version of the table, which holds all
+        runs up to one, and the rows of later runs."""
+        version, through = self.error_version()
+        later = self._routed_errors(through, self.state().run)
+        return self.errors_of(version, 0).unionByName(later) if version else later
+
+    def update_errors(self, changes: dict, filters: dict) -> int:
+        """Set columns of the rejected rows that match; gives their number."""
+        return self._rewrite_errors(lambda rows: update_where(rows, changes, filters), filters)
+
+    def delete_errors(self, filters: dict) -> int:
+        """Delete the rejected rows that match; gives their number."""
+        return self._rewrite_errors(lambda rows: delete_where(rows, filters), filters)
+
+    def _rewrite_errors(self, change, filters: dict) -> int:
+        """Write the error table anew as its next version, counting the rows that match on the way."""
+        version = self.error_version()[0] + 1
+        through, seen = self.state().run, Observation()
+        rows = self.errors().observe(seen, F.count_if(conditions(filters)).alias("matching"))
+        change(rows).write.mode("overwrite").parquet(self.path("silver", "errors", f"version={version}"))
+        row = self.spark.createDataFrame([(version, through)], "version long, through_run long")
+        row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path("silver", "error_versions"))
+        return seen.get["matching"] or 0

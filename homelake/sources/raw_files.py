@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..operators.keyed import without_known
 from ..operators.missing import null_tokens
 from ..schemas import LOADED, RAW, RAW_COLUMNS
+from .file_access import can_open, files_below, first_lines, qualified
 
 CORRUPT = "corrupt_record"
 
@@ -36,32 +37,43 @@ def name_time(name: Column | str, modified: Column | str) -> Column:
     return F.when(digits == "", modified).otherwise(F.try_to_timestamp(digits, F.lit("yyyyMMddHHmmss")))
 
 
-def _file_facts() -> dict[str, Column]:
-    path = F.col("_metadata.file_path")
+def _file_time(path: Column, modified: Column) -> Column:
     # Spark writes an export as a folder of part files, so the folder may carry the time.
-    own_name = F.col("_metadata.file_name")
-    folder = F.element_at(F.split(path, "/"), -2)
+    own_name, folder = F.element_at(F.split(path, "/"), -1), F.element_at(F.split(path, "/"), -2)
     dated = F.when(~own_name.rlike(NAME_TIME) & folder.rlike(NAME_TIME), folder).otherwise(own_name)
-    return {
-        "source_file": path,
-        "file_timestamp": name_time(dated, F.col("_metadata.file_modification_time")),
-    }
+    return name_time(dated, modified)
+
+
+def _file_facts() -> dict[str, Column]:
+    # The path as listings have it, without the escapes of an address.
+    path = F.col("_metadata.file_path")
+    path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return {"source_file": path, "file_timestamp": _file_time(path, F.col("_metadata.file_modification_time"))}
+
+
+def _paths(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(paths).select("path")
 
 
 def headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """Column names in the order of each file's first line, with the files that have them.
 
-    One row per file comes to the driver, so ``paths`` should be a bounded number of files.
+    One row per file comes to the driver, so ``paths`` should be a bounded number of files. Of a file
+    only the first block is read, where executors can open it.
     """
-    lines = spark.read.text(paths).select(
-        "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    files = _paths(spark, paths)
+    if can_open(files.agg(F.min("path")).first()[0]):
+        first = first_lines(files)
+    else:
+        lines = spark.read.text(paths).select(
+            "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+        )
+        first = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
     found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.orderBy("file").toLocalIterator():
+    for row in first.orderBy("path").toLocalIterator():
         names = tuple(n.strip() for n in next(csv.reader([row.line.removeprefix("\ufeff")]), []))
-        found.setdefault(names, []).append(row.file)
+        found.setdefault(names, []).append(row.path)
     return found
 
 
@@ -90,18 +102,18 @@ def scan_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _listed(files: DataFrame) -> DataFrame:
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("path").alias("file_path"),
-        *[c.alias(n) for n, c in _file_facts().items() if n == "file_timestamp"],
-    )
+def _listed(files: DataFrame, modified: Column) -> DataFrame:
+    path = F.col("path")
+    return files.select(F.element_at(F.split(path, "/"), -1).alias("file_name"), path.alias("file_path"), _file_time(path, modified).alias("file_timestamp"))
 
 
-def stream_files(spark: SparkSession, folder: str, max_files: int) -> DataFrame:
-    """Files as they arrive, as ``list_files`` gives them."""
+def stream_files(spark: SparkSession, folder: str, max_files: int, archive: str | None = None) -> DataFrame:
+    """Files as they arrive, as ``list_files`` gives them. With ``archive`` the source moves the files of
+    finished batches there."""
     reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("maxFilesPerTrigger", max_files)
-    return _listed(reader.load(folder))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return _listed(reader.load(folder), F.col("modificationTime"))
 
 
 def move_files(spark: SparkSession, paths: list[str], folder: str) -> None:
@@ -136,8 +148,11 @@ def stamp(rows: DataFrame, created_at: Column | None = None) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of a folder; their contents are not read."""
-    return _listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder))
+    """Files below a folder; their contents are not read. Tasks list the folders where they can."""
+    if can_open(qualified(spark, folder)):
+        return _listed(files_below(spark, qualified(spark, folder)), F.col("modified"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return _listed(files, F.col("modificationTime"))
 
 
 def new_files(files: DataFrame, file_log: DataFrame) -> DataFrame:

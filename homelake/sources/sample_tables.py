@@ -198,3 +198,16 @@ def listing_pages(rows: DataFrame, selectors) -> DataFrame:
         "source",
         "crawled_at",
     )
+
+
+def open_pages(rows: DataFrame) -> DataFrame:
+    """Pages (ingest_seq, html) written from listing rows without the end tags that HTML lets a page leave out."""
+    part = lambda opening, name: F.concat(F.lit(opening), F.coalesce(_escaped(name), F.lit("")))
+    item = lambda name: part(f'<li class="item"><span class="t">{name}</span><span class="v">', name)
+    html = F.concat(
+        F.lit("<html><head><title>listing</title><body><ul>"), item("price"), F.lit("</span>"), item("area"), F.lit("</span><li>"),
+        F.lit("none</ul>"), part('<p class="note">', "title"), part('<p class="place">', "address"),
+        part('<table><tr><td class="a">', "facade"), part('<td class="b">', "legal"), part('<tr><td class="c">', "furniture"),
+        F.lit("</table>after</body>"),
+    )
+    return rows.select("ingest_seq", html.alias("html"))

@@ -13,7 +13,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import BATCH_FILES, load_files
+from ..plans.ingest import BATCH_FILES, commit_files, load_files
 from ..plans.refine import refine_rows
 from ..sources.lake import Lake
 from ..sources.raw_files import new_files, stream_files
@@ -31,18 +31,24 @@ def _identity(lake: Lake, checkpoint: str) -> str:
 
 def ingest_stream(
     lake: Lake, folder: str, checkpoint: str, archive: str | None = None, continuous: str | None = None,
-    max_files: int = BATCH_FILES, failed: str | None = None,
+    max_files: int = BATCH_FILES,
 ) -> StreamingQuery:
     """Each raw file once into bronze, with its row in the file log; files that a load has are left
-    out. Finished files go to ``archive`` and unreadable ones to ``failed`` if given."""
+    out. With ``archive`` the file source itself moves the files of finished batches there."""
 
     def batch(found: DataFrame, n: int) -> None:
         load = f"stream-{_identity(lake, checkpoint)}-{n:012d}"
         files = new_files(found, lake.file_log())
-        if not files.isEmpty() or lake.is_committed(load):
-            load_files(lake, files, load, archive, failed)
-
-    return _start(stream_files(lake.spark, folder, max_files), batch, checkpoint, continuous)
+        if lake.is_committed(load) or files.isEmpty():
+            return
+        # Written once: the log and the load are made of the same list.
+        path = lake.path("bronze", "found_files", load)
+        files.write.mode("overwrite").parquet(path)
+        files = lake.spark.read.parquet(path)
+        load_files(lake, files, load)
+        commit_files(lake, files, [load], load)
+
+    return _start(stream_files(lake.spark, folder, max_files, archive), batch, checkpoint, continuous)
 
 
 def refine_stream(lake: Lake, rows: DataFrame, checkpoint: str, continuous: str | None = None) -> StreamingQuery:

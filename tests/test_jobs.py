@@ -1,11 +1,14 @@
+import re
 import shutil
+from collections import Counter
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from homelake import schemas
-from homelake.operators.keyed import newest_listing
+from homelake.operators.keyed import newest_listing, upsert_aligned
 from homelake.plans import quality
 from homelake.plans.ingest import ingest
 from homelake.plans.refine import refine, refine_rows
@@ -87,6 +90,7 @@ def test_many_batches_and_moved_files(lake, raw, tmp_path):
     done, failed = tmp_path / "done", tmp_path / "failed"
     summary = ingest(lake, str(raw), "day", batch_files=2, archive=str(done), failed=str(failed)).first()
     assert (summary.processed, summary.failed) == (8, 1) and lake.load_log().count() > 1
+    assert len(list((tmp_path / "lake/bronze/load_log").glob("part-*"))) == 1  # all batches are committed by one file
     assert sorted(r.title for r in lake.staging().collect()) == list("12345678")
     assert not list(raw.glob("*.csv")) and len(list(done.glob("*.csv"))) == 8 and len(list(failed.glob("*.csv"))) == 1
     assert [r.file_name for r in lake.failed_files().collect()] == ["raw_20251020_094851.csv"]
@@ -146,11 +150,6 @@ def test_runs_are_incremental_and_repeatable(lake):
     before = sorted(map(str, lake.clean().collect()))
     assert len(before) == 2 and lake.clean().columns == schemas.CLEAN_COLUMNS
 
-    lake.compact()
-    assert lake.state().base_run == 2 and sorted(map(str, lake.clean().collect())) == before
-    lake.compact()
-    assert lake.vacuum() == [] and lake.vacuum(hours=0) == ["clean_changes/run=1", "clean_changes/run=2"]
-    assert sorted(map(str, lake.clean().collect())) == before
     refine_rows(lake, lake.staging(), 2)  # a run that is in the log is not done again
     assert sorted(map(str, lake.clean().collect())) == before and lake.errors().count() == 1
 
@@ -176,10 +175,108 @@ def test_a_load_committed_late_is_refined(lake):
 def test_errors_can_be_changed(lake):
     add_rows(lake, "1", [(datetime(2025, 1, 1), GOOD | {"price": p}) for p in ("?", "!", "1 tỷ")])
     refine(lake)
-    assert lake.change_errors({"price": "?"}, "resolved") == 1
-    assert lake.change_errors({"price": "!"}, delete=True) == 1
+    assert lake.update_errors({"retry_status": "resolved"}, {"price": "?"}) == 1
+    assert lake.delete_errors({"price": "!"}) == 1
     assert [(r.price, r.retry_status) for r in lake.errors().collect()] == [("?", "resolved")]
-    assert lake.change_errors({"price": "?"}, None) == 1 and lake.errors().first().retry_status is None
+    assert lake.update_errors({"retry_status": None}, {"price": "?"}) == 1 and lake.errors().first().retry_status is None
+    add_rows(lake, "2", [(datetime(2025, 1, 2), GOOD | {"price": "#"})])
+    refine(lake)
+    assert sorted((r.price, r.retry_status, r.run) for r in lake.errors().collect()) == [("#", "pending", 2), ("?", None, 1)]
+    assert lake.delete_errors({"price": "none"}) == 0 and lake.errors().count() == 2
+
+
+def test_a_run_scans_its_loads_only(lake, spark):
+    for n in range(5):
+        add_rows(lake, str(n), [(datetime(2025, 1, n + 1), GOOD | {"subpage_url": f"https://x/ban-condotel-{n}"})])
+        if n == 3:
+            assert refine(lake, loads_per_run=3).first().run == 2 and lake.clean().count() == 4
+    names = lake.unrefined(10)
+    assert names == ["4"]
+    rows = lake.loads(names)
+    assert len(rows.inputFiles()) >= 1 and all("load=4" in f for f in rows.inputFiles())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load" in plan and re.search(r"PartitionFilters: \[[^\]]*load#\d+ = 4", plan)
+    assert refine(lake).first().run == 3 and lake.clean().count() == 5
+
+
+def test_a_merge_does_not_exchange_the_clean_table(lake, spark):
+    add_rows(lake, "1", [(datetime(2025, 1, 1), GOOD | {"subpage_url": f"https://x/ban-condotel-{n}"}) for n in range(40)])
+    refine(lake)
+    add_rows(lake, "2", [(datetime(2025, 1, 2), GOOD | {"subpage_url": f"https://x/ban-condotel-{n}", "title": "new"}) for n in range(30, 50)])
+    refine(lake)
+    merged = upsert_aligned(lake.bucketed("clean", 1, lake.buckets), lake.bucketed("incoming", 2, lake.buckets), "subpage_url")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2 and "FullOuter" in plan
+    assert Counter(r.title for r in lake.clean().collect()) == {"t": 30, "new": 20}
+    assert len(lake.clean().inputFiles()) <= lake.buckets
+    # Another session finds the table without what this one knows of it.
+    other = Lake(spark.newSession(), lake.root)
+    other.spark.sql(f"drop table {lake._name('clean', 2)}")
+    assert other.clean().count() == 50
+
+
+def test_reports_are_merged_from_counts(lake):
+    add_rows(lake, "1", [(datetime(2025, 1, 2), GOOD), (datetime(2025, 1, 1), GOOD | {"price": "?"})])
+    add_rows(lake, "none", [])
+    quality.refresh_qc(lake)
+    quality.refresh_qc(lake)
+    assert [(str(r.crawl_date), r.total_records, r.missing_legal) for r in quality.lake_qc_daily(lake).collect()] == [("2025-01-01", 1, 1), ("2025-01-02", 1, 1)]
+    refine(lake)
+    quality.refresh_errors(lake)
+    lake.update_errors({"retry_status": "failed"}, {"price": "?"})
+    add_rows(lake, "2", [(datetime(2025, 1, 1), GOOD | {"price": "!"}), (datetime(2024, 1, 1), GOOD | {"price": "!"})])
+    refine(lake)
+    quality.refresh_errors(lake)
+    quality.refresh_errors(lake)
+    assert quality.lake_error_daily(lake).collect() == quality.error_daily(lake.errors()).collect()
+    assert [(str(r.report_date), r.total_errors, r.total_failed) for r in quality.lake_error_daily(lake).collect()] == [("2024-01-01", 1, 0), ("2025-01-01", 2, 1)]
+
+
+def test_files_in_folders_are_listed_by_tasks(spark, tmp_path):
+    for name in ("a_20251027_094851.csv", "x/b_20251027_094851.csv", "x/y z/c_20251027_094851.csv", "x/_hidden/d.csv", "x/.e.csv", "w/export_20251028_000000/part-0.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        write_csv(tmp_path / name, [GOOD | {"title": name}])
+    found = raw_files.list_files(spark, str(tmp_path)).orderBy("file_path").collect()
+    assert [r.file_path.split(str(tmp_path))[1] for r in found] == [
+        "/a_20251027_094851.csv", "/w/export_20251028_000000/part-0.csv", "/x/b_20251027_094851.csv", "/x/y z/c_20251027_094851.csv",
+    ]
+    assert found[1].file_timestamp == datetime(2025, 10, 28)
+    assert raw_files.list_files(spark, str(tmp_path / "x/_hidden")).count() == 1
+
+
+def test_header_probe_reads_first_blocks(spark, tmp_path, monkeypatch):
+    from homelake.sources import file_access
+
+    write_csv(tmp_path / "a_20251027_094851.csv", [GOOD] * 5000)
+    (tmp_path / "b_20251027_094851.csv").write_text("title," + ",".join(["x" * 99] * 2000) + "\nt,u\n")
+    read = []
+
+    class Counted:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+        def read(self, n):
+            read.append(len(part := self.stream.read(n)))
+            return part
+
+    opened = file_access._opened
+
+    class System:
+        def __init__(self, system):
+            self.open_input_stream = lambda path: Counted(system.open_input_stream(path))
+
+    monkeypatch.setattr(file_access, "_opened", lambda p: (System(opened(p)[0]), opened(p)[1]))
+    paths = [f"file:{tmp_path}/{n}_20251027_094851.csv" for n in "ab"]
+    lines = next(file_access._lines(iter([pd.DataFrame({"path": paths})])))["line"]
+    assert lines[0].startswith("\ufeffmain_page_url,") and len(lines[1]) == 200_005
+    assert sum(read) <= 6 * file_access._FIRST and (tmp_path / "a_20251027_094851.csv").stat().st_size > 8 * file_access._FIRST
+    assert set(raw_files.headers(spark, paths)) == {tuple(schemas.RAW_COLUMNS), ("title", *["x" * 99] * 2000)}
 
 
 def test_an_unfinished_run_is_invisible_and_can_be_repeated(lake, monkeypatch):
