@@ -2,11 +2,78 @@
 
 from __future__ import annotations
 
-from ..functions.labels import LEGAL_KEYWORDS, PREPARATION, PREPARATION_KEYWORDS, PROPERTY_TYPES, STAGE_KEYWORDS
-from ..operators.missing import NULL_TOKENS
-from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS, REQUIRED_COLUMNS
+from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS
 from ..sources.sample_tables import LISTING_SQL
 
+# Fixed values, written out here once more: a wrong one on either side shows as a difference.
+LEGAL_KEYWORDS = {
+    "have_red_book": ["sổ đỏ", "so do"],
+    "have_pink_book": ["sổ hồng", "so hong"],
+    "have_sale_contract": ["hợp đồng mua bán", "hop dong mua ban", "hđmb", "hdmb"],
+    "have_agreement_document": ["văn bản", "van ban", "vbtt"],
+}
+STAGE_KEYWORDS = [
+    (
+        "Chuẩn bị",
+        [
+            "du kien", "chuan bi", "ra mat trong", "dang cap nhat", "sap ra mat", "sap mo ban", "sap khoi cong",
+            "sap trien khai",
+        ],
+    ),
+    (
+        "Đã bàn giao",
+        [
+            "da ban giao", "da co so hong", "da ban giao toa", "da ban giao thap", "da ban giao giai doan",
+            "da ban giao phan khu", "da xay dung hoan thien",
+        ],
+    ),
+    (
+        "Bàn giao",
+        [
+            "ban giao nam", "ban giao thang", "ban giao quy", "ban giao vao", "ban giao ngay", "ban giao toa",
+            "ban giao toan", "ban giao giai doan", "ban giao trong", "sap ban giao", "chuan bi ban giao",
+            "dang ban giao",
+        ],
+    ),
+    (
+        "Đang bán",
+        [
+            "dang ban", "dang mo ban", "ban het", "ban toan bo", "ban gio hang", "ban nhung can cuoi",
+            "dang ban phan khu", "dang ban toa",
+        ],
+    ),
+    (
+        "Mở bán",
+        [
+            "mo ban", "ra mat thap", "ra mat du an", "mo ban dot", "mo ban giai doan", "mo ban gio hang",
+            "ra mat khu",
+        ],
+    ),
+    ("Nhận booking", ["nhan booking", "nhan dat cho", "giu cho", "dat cho", "nhan giu cho"]),
+    ("Cất nóc", ["cat noc", "sap cat noc"]),
+    ("Khởi công", ["khoi cong", "dong tho"]),
+    ("thi công", ["thi cong", "thi cong tro lai", "dang thi cong"]),
+]
+PROPERTY_TYPES = [
+    ("ban-nha-biet-thu", "Nhà biệt thự"),
+    ("ban-can-ho-chung-cu", "Căn hộ chung cư"),
+    ("ban-nha-rieng", "Nhà riêng"),
+    ("ban-dat-xa", "Đất xã"),
+    ("ban-dat-duong", "Đất đường"),
+    ("ban-dat-nen", "Đất nền"),
+    ("ban-condotel", "Condotel"),
+    ("ban-shophouse", "Shophouse"),
+    ("ban-loai-bat-dong-san-khac", "Bất động sản khác"),
+    ("ban-nha-mat-pho", "Nhà mặt phố"),
+    ("ban-dat-phuong", "Đất phường"),
+    ("ban-trang-trai", "Trang trại"),
+]
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+REQUIRED_COLUMNS = ["title", "address", "area", "price", "post_id", "post_start_time", "post_end_time", "post_type"]
+
 U = "'Không xác định'"
 # Space characters that can occur in the tables.
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(12288)"
@@ -72,7 +139,7 @@ def count_field(c: str) -> str:
 
 _stage = " ".join(
     f"when regexp_matches(status, '{'|'.join(keys)}') then '{label}'"
-    for label, keys in [(PREPARATION, PREPARATION_KEYWORDS), *STAGE_KEYWORDS]
+    for label, keys in STAGE_KEYWORDS
 )
 _type = " ".join(f"when contains(lower(subpage_url), '{p}') then '{t}'" for p, t in PROPERTY_TYPES)
 _complete = " and ".join(f"not ({empty(c)})" for c in REQUIRED_COLUMNS)
@@ -344,7 +411,24 @@ ORACLE = {
     "generic_insert": "select * from orders where o_orderstatus is not null",
     "ingest_two_files": _RAW_NULLED,
     "ingest_streams": _RAW_NULLED,
-    "new_files": f"with {LISTINGS} select '2025-10-28' as day, count(*) as n from listings where ingest_seq % 2 = 1",
+    "new_files": f"""with {LISTINGS} select case ingest_seq % 3 when 1 then '2025-10-28 09' else '2025-10-28 10' end as hour,
+        count(*) as n from listings where ingest_seq % 3 > 0 group by 1""",
+    "archived_files": f"""with {LISTINGS} select case ingest_seq % 2 when 0 then 'one_20251027_094851' else 'two_20251028_094851' end as folder,
+          'success' as status, count(*) as record_count from listings group by 1
+        union all select 'none_20251029_094851', 'failed', 0""",
+    "nested_nulls": """select p_partkey, p_retailprice as whole, if(p_partkey % 4 = 3, p_retailprice, null) as odd,
+        if(p_partkey % 4 = 3, p_retailprice, null) as first_item, p_retailprice as second_item,
+        if(p_partkey % 4 = 3, p_retailprice, null) as listed, p_retailprice as listed_whole, 3 as n_listed,
+        if(p_partkey % 4 = 3, p_retailprice, null) as mapped, p_brand as brand from part""",
+    "qc_by_load": f"with {LISTINGS}, {_DAILY} select * from daily",
+    "error_by_run": f"""{_ALL} select cast(created_at as date) as report_date, count(*) as total_errors,
+        count(*) filter (ingest_seq % 3 = 2 or ingest_seq >= 2000) as total_pending,
+        count(*) filter (ingest_seq % 3 < 2 and ingest_seq < 2000) as total_resolved, cast(0 as bigint) as total_failed,
+        max(created_at) as latest_error_time from cleaned where error_message is not null group by 1""",
+    "page_by_index": "select * from orders order by o_totalprice, o_orderkey limit 7 offset 1043",
+    "open_items": f"""with {LISTINGS} select ingest_seq, {", ".join(f"nullif(trim(coalesce({c}, '')), '') as {c}"
+        for c in ["title", "address", "facade", "legal", "furniture"])},
+        coalesce(trim(price), '') as price, coalesce(trim(area), '') as area, 2 as n_items from listings""",
     "last_processed": f"with {LISTINGS} select true as is_newest, count(*) as record_count from listings",
     "csv_by_header": f"""with {LISTINGS} select {", ".join(
         f"case when {c} in ({_TOKENS}){' or ingest_seq % 3 = 2' if c == 'legal' else ''} then null else {c} end as {c}"

@@ -13,6 +13,7 @@ from ..functions import html as H
 from ..functions.text import plain_ascii, squeeze, title_case
 from ..operators import conditions as C
 from ..operators import keyed, missing, reshape
+from ..operators.paging import read_page, write_pages
 from ..plans import clean as P
 from ..plans import crawl, quality
 from ..plans.ingest import ingest
@@ -20,7 +21,7 @@ from ..plans.refine import refine, refine_rows, routed
 from ..schemas import CLEAN_COLUMNS, RAW, RAW_COLUMNS, REQUIRED_COLUMNS, ROUTED, STAGING
 from ..sources import raw_files
 from ..sources.lake import Lake
-from ..sources.sample_tables import listing_pages, listings, spread, table
+from ..sources.sample_tables import listing_pages, listings, open_pages, spread, table
 from ..sources.work_folder import work_folder
 from ..streaming.jobs import ingest_stream, refine_stream
 
@@ -260,15 +261,15 @@ def error_table(spark, folder):
 def retry_update(spark, folder):
     """The error table after its retry states were set twice for some rows."""
     lake = _refined_errors(spark, folder, "retries")
-    lake.change_errors({"ingest_seq": {"lt": 2000}}, "failed")
-    lake.change_errors({"ingest_seq": {"lt": 500}, "retry_status": "failed"}, "resolved")
+    lake.update_errors({"retry_status": "failed"}, {"ingest_seq": {"lt": 2000}})
+    lake.update_errors({"retry_status": "resolved"}, {"ingest_seq": {"lt": 500}, "retry_status": "failed"})
     return lake.errors().select(*_ERROR_COLUMNS)
 
 
 def error_delete(spark, folder):
     """The error table after the rows of one message were deleted."""
     lake = _refined_errors(spark, folder, "deleted")
-    lake.change_errors({"error_message": {"like": "Thi%"}}, delete=True)
+    lake.delete_errors({"error_message": {"like": "Thi%"}})
     return lake.errors().select(*_ERROR_COLUMNS)
 
 
@@ -348,13 +349,34 @@ def ingest_streams(spark, folder):
 
 
 def new_files(spark, folder):
-    """Rows of the files that the log does not have."""
-    lake, raw = _exported(spark, folder, "new-files")
-    ingest(lake, f"{raw}/first_20251027_094851", "day")
-    files = raw_files.new_files(raw_files.list_files(spark, raw), lake.file_log())
-    rows = raw_files.scan_csv(spark, f"{raw}/*")
-    fresh = rows.join(files.select(F.col("file_path").alias("source_file")), "source_file", "left_semi")
-    return fresh.groupBy(F.date_format("file_timestamp", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+    """Rows of the files that the log does not have, over folders in folders."""
+    root = work_folder(spark, "new-files")
+    lake, raw = Lake(spark, f"{root}/lake"), f"{root}/raw"
+    rows = listings(spark, folder)
+    for n, name in enumerate(["a/first_20251027_094851", "a/b/second_20251028_094851", "c/d/e/third_20251028_104851"]):
+        raw_files.export_csv(rows.where(F.col("ingest_seq") % 3 == n), f"{raw}/{name}")
+    ingest(lake, f"{raw}/a/first_20251027_094851", "day")
+    fresh = raw_files.new_files(raw_files.list_files(spark, raw), lake.file_log()).select(F.col("file_path").alias("source_file"))
+    rows = raw_files.scan_csv(spark, [f"{raw}/a/*", f"{raw}/a/b/*", f"{raw}/c/d/e/*"]).join(fresh, "source_file", "left_semi")
+    return rows.groupBy(F.date_format("file_timestamp", "yyyy-MM-dd HH").alias("hour")).agg(F.count("*").alias("n"))
+
+
+def archived_files(spark, folder):
+    """What a stream's source has archived: the rows of each folder of files, and whether it could be read."""
+    root = work_folder(spark, "archived")
+    lake, raw, archive = Lake(spark, f"{root}/lake"), f"{root}/raw", f"{root}/archive"
+    rows = listings(spark, folder)
+    names = ["one_20251027_094851", "two_20251028_094851", "none_20251029_094851"]
+    parts = [rows.where("ingest_seq % 2 = 0"), rows.where("ingest_seq % 2 = 1"), rows.where("false")]
+    for n, (name, part) in enumerate(zip(names, parts, strict=True)):
+        raw_files.export_csv(part.coalesce(1), f"{raw}/{name}")
+        # The files of a batch are moved when the next one is.
+        ingest_stream(lake, f"{raw}/*", f"{root}/checkpoint", archive, max_files=1).awaitTermination()
+    raw_files.export_csv(parts[2].coalesce(1), f"{raw}/last_20251030_094851")
+    ingest_stream(lake, f"{raw}/*", f"{root}/checkpoint", archive, max_files=1).awaitTermination()
+    moved = raw_files.list_files(spark, archive).select(F.element_at(F.split("file_path", "/"), -2).alias("folder"))
+    log = lake.file_log().withColumn("folder", F.element_at(F.split("file_path", "/"), -2))
+    return log.join(moved.distinct(), "folder").groupBy("folder", "status").agg(F.sum("record_count").alias("record_count"))
 
 
 def last_processed(spark, folder):
@@ -395,6 +417,25 @@ def null_tokens(spark, folder):
     return missing.finite_only(missing.null_tokens(rows, ["label"]))
 
 
+def nested_nulls(spark, folder):
+    """NaN and infinite numbers in structs, arrays and maps, taken apart again."""
+    parts = table(spark, folder, "part")
+    price, bad = F.col("p_retailprice"), F.col("p_partkey") % 4
+    odd = F.when(bad == 0, F.lit(float("nan"))).when(bad == 1, F.lit(float("inf"))).when(bad == 2, F.lit(float("-inf"))).otherwise(price)
+    nested = parts.select(
+        "p_partkey",
+        F.struct(price.alias("whole"), odd.alias("odd"), F.array(odd, price).alias("items")).alias("record"),
+        F.create_map(F.lit("odd"), F.array(odd, F.lit(None), price), F.lit("whole"), F.array(price)).alias("lists"),
+        F.create_map(F.col("p_brand"), F.create_map(F.lit(1), F.struct(odd.alias("value")))).alias("maps"),
+    )
+    found = missing.finite_only(nested)
+    return found.select(
+        "p_partkey", "record.whole", "record.odd", F.col("record.items")[0].alias("first_item"), F.col("record.items")[1].alias("second_item"),
+        F.col("lists")["odd"][0].alias("listed"), F.col("lists")["odd"][2].alias("listed_whole"), F.size(F.col("lists")["odd"]).alias("n_listed"),
+        F.element_at(F.map_values("maps")[0], 1)["value"].alias("mapped"), F.map_keys("maps")[0].alias("brand"),
+    )
+
+
 def file_times(spark, folder):
     """Times in file names made from event times; names without usable digits have none."""
     events = table(spark, folder, "events")
@@ -438,6 +479,29 @@ def error_daily(spark, folder):
     return quality.error_daily(_errors(spark, folder))
 
 
+def qc_by_load(spark, folder):
+    """The daily quality table from the counts of three loads, the last taken after the others' counts."""
+    lake = Lake(spark, work_folder(spark, "qc-counts"))
+    rows = _staging(spark, folder)
+    for n in range(3):
+        lake.add_load(rows.where(F.col("ingest_seq") % 3 == n), f"load-{n}")
+        if n:
+            quality.refresh_qc(lake)
+    return quality.lake_qc_daily(lake)
+
+
+def error_by_run(spark, folder):
+    """The daily error table from the counts of two runs, of a changed version, and of a run after it."""
+    lake = Lake(spark, work_folder(spark, "error-counts"))
+    rows = _staging(spark, folder)
+    for n in range(3):
+        if n == 2:
+            lake.update_errors({"retry_status": "resolved"}, {"ingest_seq": {"lt": 2000}})
+        refine_rows(lake, rows.where(F.col("ingest_seq") % 3 == n), n + 1)
+        quality.refresh_errors(lake)
+    return quality.lake_error_daily(lake)
+
+
 def error_totals(spark, folder):
     return quality.error_totals(error_daily(spark, folder))
 
@@ -481,6 +545,13 @@ def paginate(spark, folder):
     return C.page_of(table(spark, folder, "orders"), 3, 50, ["o_totalprice", "o_orderkey"])
 
 
+def page_by_index(spark, folder):
+    """A page far into the table, by its index."""
+    path = work_folder(spark, "pages")
+    write_pages(table(spark, folder, "orders"), path, ["o_totalprice", "o_orderkey"], 8)
+    return read_page(spark, path, 150, 7)
+
+
 def page_size(spark, folder):
     return C.page_info(paginate(spark, folder), 3, 50)
 
@@ -550,6 +621,18 @@ def crawl_records(spark, folder):
     return crawl.listing_records(pages, F.col("crawled_at"), F.col("source"), keep=["ingest_seq"]).drop("error")
 
 
+def open_items(spark, folder):
+    """Fields of pages that leave out the end tags of list items, paragraphs and cells."""
+    texts = {"title": H.element("p", "note"), "address": H.element("p", "place"), **{c: H.element("td", k) for c, k in zip(["facade", "legal", "furniture"], "abc")}}
+    items = {"items": H.Items(H.element("li", "item"), H.element("span", "v"), H.element("span", "t"))}
+    found = open_pages(listings(spark, folder)).withColumn("found", H.fields("html", texts, items))
+    values = found.withColumns({c: H.value_text("found.items", c) for c in ("price", "area")})
+    return values.select(
+        "ingest_seq", *[H.text_or_null(f"found.{c}").alias(c) for c in texts], *[H.or_default(c, "").alias(c) for c in ("price", "area")],
+        F.size("found.items").alias("n_items"),
+    )
+
+
 def empty_pages(spark, folder):
     """Pages without content are marked, the others are not."""
     pages = listing_pages(listings(spark, folder), crawl.Selectors())
@@ -662,4 +745,10 @@ QUERIES = {
     "sample_row": sample_row,
     "preview": preview,
     "unknown_parents": unknown_parents,
+    "archived_files": archived_files,
+    "nested_nulls": nested_nulls,
+    "qc_by_load": qc_by_load,
+    "error_by_run": error_by_run,
+    "page_by_index": page_by_index,
+    "open_items": open_items,
 }
