@@ -127,17 +127,21 @@ def float_error(c: Column | str) -> Column:
     return F.concat(F.lit(FLOAT_ERROR), _col(c))
 
 
+def _python_literal(text: Column) -> Column:
+    for raw, escaped in [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\xa0", "\\xa0")]:
+        text = F.replace(text, F.lit(raw), F.lit(escaped))
+    only_single = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
+    mark = F.when(only_single, '"').otherwise("'")
+    return F.concat(mark, F.when(only_single, text).otherwise(F.replace(text, F.lit("'"), F.lit("\\'"))), mark)
+
+
 def quoted_message(message: Column | str) -> Column:
     """The message, with the text of a ``float_error`` written as a Python literal.
 
-    A step of its own, applied to the one message that is reported, as it is long.
+    A step of its own, applied to the one message that is reported. Few messages need it: the function
+    given to transform is interpreted, and so stays out of the generated code of all rows.
     """
     message = _col(message)
     text = F.substring(message, len(FLOAT_ERROR) + 1, 2**31 - 1)
-    for raw, escaped in [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\xa0", "\\xa0")]:
-        text = F.replace(text, F.lit(raw), F.lit(escaped))
-    only_single = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
-    mark = F.when(only_single, '"').otherwise("'")
-    inner = F.when(only_single, text).otherwise(F.replace(text, F.lit("'"), F.lit("\\'")))
-    quoted = F.concat(F.lit(FLOAT_ERROR), mark, inner, mark)
+    quoted = F.concat(F.lit(FLOAT_ERROR), F.get(F.transform(F.array(text), _python_literal), F.lit(0)))
     return F.when(message.startswith(FLOAT_ERROR), quoted).otherwise(message)

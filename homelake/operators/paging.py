@@ -22,19 +22,25 @@ def write_pages(df: DataFrame, path: str, order_by: list[str], ranges: int) -> N
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))
     placed = dealt.withColumns({"range_number": F.spark_partition_id(), "range_place": place})
     placed.write.mode("overwrite").partitionBy("range_number").parquet(f"{path}/rows")
-    counts = df.sparkSession.read.parquet(f"{path}/rows").groupBy("range_number").agg(F.count("*").alias("n_rows"))
+    # A table without rows has no range whose files would tell its columns.
+    placed.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+    counts = _rows(df.sparkSession, path).groupBy("range_number").agg(F.count("*").alias("n_rows"))
     # One row for each range.
     before = Window.orderBy("range_number").rowsBetween(Window.unboundedPreceding, -1)
     index = counts.withColumn("first_row", F.coalesce(F.sum("n_rows").over(before), F.lit(0)))
     index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
 
 
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(spark.read.parquet(f"{path}/columns").schema).parquet(f"{path}/rows")
+
+
 def read_page(spark: SparkSession, path: str, page: int, page_size: int) -> DataFrame:
     """The rows of a page (from 1), in order. Only the ranges that the page touches are scanned."""
     first, end = (page - 1) * page_size, page * page_size
     index = spark.read.parquet(f"{path}/index")
     touched = index.where((F.col("first_row") < end) & (F.col("first_row") + F.col("n_rows") > first)).collect()
-    rows = spark.read.parquet(f"{path}/rows")
+    rows = _rows(spark, path)
     wanted = F.lit(False)
     for r in touched:
         place = F.col("range_place")

@@ -35,12 +35,18 @@ def normalised(rows: DataFrame) -> DataFrame:
             "_way_in": measures.way_in_text("way_in"),
             "_status": plain_ascii("project_status"),
             "_url": F.lower("subpage_url"),
+            "_start": dates.post_text("post_start_time"),
+            "_end": dates.post_text("post_end_time"),
         }
     )
 
 
 def first_values(rows: DataFrame) -> DataFrame:
-    """Adds every value that needs only normalised texts."""
+    """Adds values that need only normalised texts: those that later ones need, and some others.
+
+    Values are dealt to two projections, so that the code generated for each of them stays within the
+    8,000 bytes that the JVM compiles.
+    """
     return rows.withColumns(
         {
             "page_number": labels.page_number("main_page_url"),
@@ -48,29 +54,29 @@ def first_values(rows: DataFrame) -> DataFrame:
             "_district": address.district_text("_parts"),
             "area_m2": measures.area_m2("_area"),
             "_price_number": measures.price_number("_price"),
-            "v_house_direction": labels.direction("house_direction"),
-            "v_balcony_direction": labels.direction("balcony_direction"),
             "v_facade": measures.width("facade", "_facade"),
             **labels.legal_flags("_legal"),
             **labels.furniture_fields("_furniture"),
-            **{f"v_{c}": measures.count_field(c) for c in COUNT_FIELDS},
             "way_in_m": measures.width("way_in", "_way_in"),
-            "v_project_name": labels.project_title("project_name"),
-            "project_status_stage": labels.status_stage("project_status", "_status"),
-            "v_project_investor": labels.project_title("project_investor"),
-            "v_post_start_time": dates.post_date("post_start_time"),
-            "v_post_end_time": dates.post_date("post_end_time"),
-            "loai_bat_dong_san": labels.property_type("_url"),
         }
     )
 
 
 def later_values(rows: DataFrame) -> DataFrame:
-    """Adds the price per square metre and the address columns."""
+    """Adds the other values, among them the price per square metre and the address columns."""
     return rows.withColumns(
         {
             "million_per_m2": measures.million_per_m2("price", "_price", "_price_number", "area_m2"),
             **address.address_fields("_parts", "_city", "_district"),
+            "v_house_direction": labels.direction("house_direction"),
+            "v_balcony_direction": labels.direction("balcony_direction"),
+            **{f"v_{c}": measures.count_field(c) for c in COUNT_FIELDS},
+            "v_project_name": labels.project_title("project_name"),
+            "project_status_stage": labels.status_stage("project_status", "_status"),
+            "v_project_investor": labels.project_title("project_investor"),
+            "v_post_start_time": dates.post_date_of("_start"),
+            "v_post_end_time": dates.post_date_of("_end"),
+            "loai_bat_dong_san": labels.property_type("_url"),
         }
     )
 
@@ -98,7 +104,11 @@ def clean(rows: DataFrame) -> DataFrame:
     """
     valued = later_values(first_values(normalised(rows)))
     required = F.when(~has_fields(REQUIRED_COLUMNS), MISSING_FIELDS)
-    found = valued.withColumn("error_message", F.coalesce(required, *field_errors()))
+    # In two steps: the first one's message is looked at twice, so that they are not made one again.
+    errors = field_errors()
+    early = F.col("_early_error")
+    found = valued.withColumn("_early_error", F.coalesce(required, *errors[:4]))
+    found = found.withColumn("error_message", F.when(early.isNotNull(), early).otherwise(F.coalesce(*errors[4:])))
     # A filter on the message would be rewritten by the optimizer into a filter on the whole
     # cleaning expression, several times the size of the cleaning itself. An expression that
     # depends on the partition is evaluated where it is written, once, and then filtered.

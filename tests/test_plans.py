@@ -2,7 +2,14 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
+from homelake.operators.paging import read_page, write_pages
+from homelake.plans import clean as P
+from homelake.plans.refine import routed
 from homelake.registry.queries import QUERIES
+from homelake.sources.sample_tables import listings
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -41,3 +48,47 @@ def test_page_after_a_key_is_pushed_down(spark):
 def test_payloads_derive_items_once(spark):
     text = plan(spark, "payload_rows")
     assert len([line for line in text.splitlines() if "FileScan" in line and "o_orderkey" in line]) == 1
+
+
+def largest_method(spark, df):
+    """Bytes of the largest method that is generated for a plan, before adaptive execution."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if hasattr(plan, "inputPlan") and plan.getClass().getSimpleName().startswith("AdaptiveSparkPlan"):
+        plan = plan.inputPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan)))
+
+
+def test_cleaning_is_generated_in_methods_that_the_jvm_compiles(spark, tmp_path):
+    """A method of more than 8,000 bytes is interpreted for good."""
+    rows = listings(spark, FOLDER).withColumn("source_file", F.lit("x"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    for made in (P.good_rows(P.clean(rows)), P.clean(rows), routed(rows)):
+        assert 1000 < largest_method(spark, made) < 8000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # Here the texts are normalised where the given tables' rows are made into listings, by an expression
+        # of many cases that is longer than that itself.
+        assert largest_method(spark, QUERIES["clean_rows"](spark, FOLDER)) < 8000 + largest_method(spark, listings(spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_page_by_index_reads_its_ranges(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"))
+    write_pages(rows, str(tmp_path / "pages"), ["a", "b"], 10)
+    for page, size in ((1, 7), (50, 7), (143, 7), (144, 7), (3, 400), (1, 5000)):
+        want = rows.orderBy("a", "b").offset((page - 1) * size).limit(size).collect()
+        assert read_page(spark, str(tmp_path / "pages"), page, size).collect() == want
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    text = read_page(spark, str(tmp_path / "pages"), 50, 7)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert re.search(r"PartitionFilters: \[[^\]]*range_number#\d+ = \d+", text) and "range_place" in text.split("PushedFilters:")[1]
+    write_pages(rows.where("a < 0"), str(tmp_path / "none"), ["a"], 4)
+    assert read_page(spark, str(tmp_path / "none"), 1, 10).count() == 0
+
+
+def test_a_page_needs_an_order(spark, tmp_path):
+    with pytest.raises(ValueError):
+        write_pages(spark.range(3), str(tmp_path / "x"), [], 2)
