@@ -31,29 +31,59 @@ WINDOW = 35
 #: Length of the windows of the first level; later levels double it up to the window.
 FIRST = 9
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_MANY = 200_000  # word hashes remembered by a task
+_BYTE_ODD = (0xD1B54A32D192ED03, 0xABC98388FB8FAC03)
+_CHUNK = 1 << 20  # bytes hashed at a time
 
 
-class _Hashes(dict):
-    """128-bit hashes of words, as bytes."""
+def joined_words(text: str | None) -> bytes:
+    """The words of a text, joined by one space."""
+    return b" ".join(text.encode("utf-8", "surrogatepass").split()) if text else b""
 
-    def __missing__(self, word: bytes) -> bytes:
-        from xxhash import xxh3_128_digest
 
-        if len(self) > _MANY:
-            self.clear()
-        value = self[word] = xxh3_128_digest(word)
-        return value
+class _ByteTables:
+    """A number for each byte, and powers of an odd number as far as the longest word needs."""
 
+    def __init__(self, which: int):
+        self.base = _BYTE_ODD[which]
+        self.numbers = np.random.default_rng(which).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.numbers[32] = 0  # between words
+        self.up = np.ones(1, np.uint64)
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+    def reach(self, n: int) -> None:
+        while len(self.up) < n:
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, len(self.up), 1 << 64))])
+
+
+_BYTES = [_ByteTables(i) for i in range(2)]
+
+
+def word_starts(words: bytes) -> np.ndarray:
+    """Where each of the words, joined by spaces, begins."""
+    if not words:
+        return np.empty(0, np.int64)
+    spaces = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
+    return np.concatenate([np.zeros(1, np.int64), spaces + 1])
 
 
-def word_hashes(words: list[bytes], known: _Hashes) -> np.ndarray:
-    """Two 64-bit numbers for each word, in two rows."""
-    full = b"".join(map(known.__getitem__, words))
-    return np.ascontiguousarray(np.frombuffer(full, "<u8").reshape(-1, 2).T)
+def word_hashes(words: bytes, starts: np.ndarray, which: int) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial of its bytes, all words of a chunk at once."""
+    tables = _BYTES[which]
+    content = np.frombuffer(words, np.uint8)
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        end = max(first + 1, int(np.searchsorted(starts, starts[first] + _CHUNK)))
+        own = starts[first:end]
+        until = starts[end] if end < len(starts) else len(content) + 1
+        sizes = np.diff(own, append=until)
+        tables.reach(int(sizes.max()))
+        part = content[own[0] : until]
+        places = np.arange(len(part)) - np.repeat(own - own[0], sizes)[: len(part)]
+        out[first:end] = np.add.reduceat(tables.numbers[part] * tables.up[places], own - own[0])
+        first = end
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(32))
 
 
 class _Powers:
@@ -99,8 +129,13 @@ def anchors(hashes: np.ndarray, length: int, window: int) -> tuple[np.ndarray, n
         return np.empty(0, np.int64), short[:0]
     if span == 1:
         return np.arange(len(short)), short
-    runs = np.lib.stride_tricks.sliding_window_view(short, span)
-    at = np.arange(len(runs)) + runs.argmin(axis=1)
+    # Places of the smallest hash of 2, 4, 8 and so on; two of them make up the span.
+    at, size = np.arange(len(short)), 1
+    while size < span:
+        step = min(size, span - size)
+        left, right = at[:-step], at[step:]
+        at = np.where(short[right] < short[left], right, left)
+        size += step
     return at, short[at]
 
 
@@ -127,14 +162,14 @@ def _first_pass(first: int, window: int):
     """Of every document: number of words, digest of all of them, and the first level's anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for batch in batches:
             counts, digests, found = [], [], []
             for text in batch.column(2):
-                words = words_of(text.as_py())
-                counts.append(len(words))
-                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                at, hashes = anchors(word_hashes(words, known)[0], first, window)
+                words = joined_words(text.as_py())
+                starts = word_starts(words)
+                counts.append(len(starts))
+                digests.append(hashlib.sha256(words).hexdigest())
+                at, hashes = anchors(word_hashes(words, starts, 0) if len(starts) >= window else np.empty(0, np.uint64), first, window)
                 found.append(hashes[np.unique(at, return_index=True)[1]].view(np.int64))
             lists = pa.ListArray.from_arrays(
                 np.cumsum([0, *map(len, found)]).astype(np.int32), pa.array(np.concatenate(found)) if found else pa.array([], pa.int64())
@@ -149,9 +184,9 @@ def _first_pass(first: int, window: int):
 
 def _surviving(hashes: np.ndarray, found: list, steps: list[int], window: int) -> np.ndarray:
     """Mask of the windows whose anchors repeat at each level so far."""
-    alive = np.ones(max(0, hashes.shape[1] - window + 1), bool)
+    alive = np.ones(max(0, len(hashes) - window + 1), bool)
     for length, repeated in zip(steps, found, strict=True):
-        alive &= np.isin(anchors(hashes[0], length, window)[1].view(np.int64), np.array(repeated or [], np.int64))
+        alive &= np.isin(anchors(hashes, length, window)[1].view(np.int64), np.array(repeated or [], np.int64))
     return alive
 
 
@@ -159,20 +194,21 @@ def _next_level(steps: list[int], length: int, window: int):
     """(row_key, hash[, high]) of the anchors of ``length`` in windows that survive the levels before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         held: list[tuple] = []
         count = 0
         for batch in batches:
             for key, text, *found in zip(*batch.columns, strict=True):
-                hashes = word_hashes(words_of(text.as_py()), known)
+                words = joined_words(text.as_py())
+                starts = word_starts(words)
+                hashes = word_hashes(words, starts, 0)
                 alive = _surviving(hashes, [f.as_py() for f in found], steps, window)
                 if not alive.any():
                     continue
-                at, own = anchors(hashes[0], length, window)
+                at, own = anchors(hashes, length, window)
                 places, first = np.unique(at[alive], return_index=True)
                 row = [np.full(len(places), key.as_py(), np.int64), own[alive][first].view(np.int64)]
                 if length == window:
-                    high = window_hashes(hashes[1], window, 1)[places]
+                    high = window_hashes(word_hashes(words, starts, 1), window, 1)[places]
                     row.append((high & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
                 held.append(tuple(row))
                 count += len(places)
@@ -207,32 +243,47 @@ def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return out
 
 
-def _covered(words: list[bytes], known: _Hashes, low: list[int], high: list[int], window: int) -> np.ndarray:
+def _covered(words: bytes, starts: np.ndarray, low: np.ndarray, high: np.ndarray, window: int) -> np.ndarray:
     """Mask of the words in a window whose 96-bit hash is among those given."""
-    hashes = word_hashes(words, known)
-    own = window_hashes(hashes[0], window, 0).view(np.int64)
-    more = (window_hashes(hashes[1], window, 1) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-    wanted = set(zip(low, high, strict=True))
-    starts = np.isin(own, np.array(low, np.int64))
-    for at in np.flatnonzero(starts).tolist():
-        starts[at] = (int(own[at]), int(more[at])) in wanted
-    return _spread(np.concatenate([starts, np.zeros(window - 1, bool)]), window)
+    own = window_hashes(word_hashes(words, starts, 0), window, 0).view(np.int64)
+    more = (window_hashes(word_hashes(words, starts, 1), window, 1) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    # Of equal low parts, which are nearly always one, each high part is compared.
+    marks = np.zeros(len(own), bool)
+    at = np.searchsorted(low, own)
+    left = np.flatnonzero(at < len(low))
+    while len(left):
+        left = left[low[at[left]] == own[left]]
+        marks[left[high[at[left]] == more[left]]] = True
+        at[left] += 1
+        left = left[at[left] < len(low)]
+    return _spread(np.concatenate([marks, np.zeros(window - 1, bool)]), window)
+
+
+def _without(words: bytes, starts: np.ndarray, gone: np.ndarray) -> bytes:
+    """The words that stay, joined by spaces; runs of them are copied whole."""
+    if not gone.any():
+        return words
+    edges = np.flatnonzero(np.diff(~gone, prepend=False, append=False))
+    ends = np.append(starts[1:] - 1, len(words))
+    return b" ".join([words[starts[a] : ends[b - 1]] for a, b in edges.reshape(-1, 2).tolist()])
 
 
 def _final(window: int):
     """(text_id, n_removed, kept text) from the repeated hashes of whole windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 removed, kept = [], []
                 for text, low, high in zip(*part.columns[1:], strict=True):
-                    words = words_of(text.as_py())
-                    gone = _covered(words, known, low.as_py(), high.as_py(), window)
+                    words = joined_words(text.as_py())
+                    starts = word_starts(words)
+                    gone = _covered(words, starts, low.values.to_numpy(), high.values.to_numpy(), window)
                     removed.append(int(gone.sum()))
-                    kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
+                    kept.append(_without(words, starts, gone))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                     ["text_id", "n_removed", "kept"],
