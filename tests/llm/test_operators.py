@@ -142,7 +142,7 @@ def test_word_ids_equal_those_of_the_text():
     parts = list("abcXYZ'st.,<|>endoftext ßÀÖ×÷øÿœŒİσΣςﬁ①½²  ́ë日🙂0123456789_-\x1c\x85\n\t")
     parts += ["<|endoftext|>", "<|ENDOFTEXT|>", "'re", "'LL", "don't", "É", "ÑANDÚ", "é", "İ"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
-    words = WordTokenizer(vocabulary(), words=50)
+    words = WordTokenizer(vocabulary(), remembered=15_000)
     for text in texts:
         assert np.frombuffer(words.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
