@@ -61,6 +61,19 @@ _TABLE_PARTS = frozenset("tbody td tfoot th thead tr".split())
 _HEAD = frozenset("base link meta noscript script style template title".split())
 
 
+# What a tag as written means: its lower-case name, and 1 for void, 2 for blocks, 4 for what bounds a scope, 8 for start
+# tags that may end other elements. Filled as tags are met.
+_KINDS: dict[str, tuple[str, int]] = {}
+
+
+def _kind(tag: str) -> tuple[str, int]:
+    name = tag.lower()
+    found = (name, (name in _VOID) + 2 * (name in _BLOCK) + 4 * (name in _SCOPE) + 8 * (name in _ENDING or name in _ENDS_P))
+    if len(_KINDS) < 10_000:
+        _KINDS[tag] = found
+    return found
+
+
 class Page:
     """Elements by number, to any depth, and the texts between tags.
 
@@ -89,26 +102,32 @@ class Page:
         texts, text_parents, numbers = self.texts, self.text_parents, self._numbers
         last = source.rfind(">") + 1
         parts = _MARKUP.split(source[:last])
-        parts[-1] += source[last:]
-        for at in range(0, len(parts), 7):
-            if parts[at]:
-                texts.append(parts[at])
+        rest = parts.pop() + source[last:]
+        for text, held_tag, held_raw, content, slash, tag, raw in zip(*[iter(parts)] * 7, strict=True):
+            if text:
+                texts.append(text)
                 text_parents.append(stack[-1] if stack else -1)
-            if at + 1 == len(parts):
-                break
-            tag = parts[at + 5]
             if tag is None:
-                tag = parts[at + 1]
-                if tag is None:
+                if held_tag is None:
                     continue
-                raw, content = parts[at + 2], parts[at + 3]
-            else:
-                raw, content = parts[at + 6], None
-            tag = tag.lower()
-            if parts[at + 4]:
-                self._end_tag(tag)
+                tag, raw = held_tag, held_raw
+            known = _KINDS.get(tag)
+            if known is None:
+                known = _kind(tag)
+            tag, kind = known
+            if slash:
+                if stack and tags[stack[-1]] == tag and not kind & 2:
+                    # The end of the innermost element, which is no block: the usual case.
+                    number = stack.pop()
+                    ends[number], lasts[number] = len(texts), len(tags) - 1
+                    own = places[tag]
+                    own.pop()
+                    if not own:
+                        del places[tag]
+                else:
+                    self._end_tag(tag)
                 continue
-            if tag in _ENDING or tag in _ENDS_P or "head" in places:
+            if kind & 8 or "head" in places:
                 self._start_tag(tag)
             number = len(tags)
             tags.append(tag)
@@ -119,7 +138,7 @@ class Page:
                 numbers[tag].append(number)
             else:
                 numbers[tag] = [number]
-            if content is not None or tag in _VOID:
+            if kind & 1 or content is not None:
                 if content and tag in _PLAIN:
                     texts.append(content)
                     text_parents.append(number)
@@ -134,10 +153,13 @@ class Page:
             else:
                 places[tag] = [place]
             stack.append(number)
-            if tag in _BLOCK:
+            if kind & 2:
                 blocks.append(place)
-                if tag in _SCOPE:
+                if kind & 4:
                     scopes.append(place)
+        if rest:
+            texts.append(rest)
+            text_parents.append(stack[-1] if stack else -1)
         self._close(0)
 
     def _close(self, place: int) -> None:
