@@ -35,8 +35,8 @@ from .shared import column, stored
 
 MIN_COUNT = 10
 LONGEST = 3
-#: Most words of a shard, and bytes of text for each bucket of phrases.
-SHARD_WORDS, BUCKET_BYTES = 1 << 21, 4 << 20
+#: Words, breaks between pieces among them, after which a task mines its shards, and bytes of text for each bucket of phrases.
+SHARD_WORDS, BUCKET_BYTES = 1 << 20, 4 << 20
 _BREAK = b"\xff"  # in no UTF-8 text
 _PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
 _COUNTED = pa.schema([("phrase", pa.binary()), ("n", pa.int64())])
@@ -130,6 +130,8 @@ def _mine(longest: int, min_count: int, buckets: int, shard_words: int):
         support = (min_count - 1) * shard.bytes // max(total, 1) + 1
         parts = defaultdict(list)
         for phrases, hashes, counts in shard.mined(longest):
+            if not len(phrases):
+                continue
             bucket = (_mixed(hashes) % np.uint64(buckets)).astype(np.int64)
             often = (counts >= support) | (pc.binary_length(phrases).to_numpy() == 0)
             order = np.argsort(bucket * 2 + often, kind="stable")
