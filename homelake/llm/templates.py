@@ -155,7 +155,8 @@ class Subtrees:
             if up >= 0 and gone[i] == gone[up]:
                 parts.setdefault(up, []).append(value.to_bytes(8, "little"))
             plain = tag in _PLAIN
-            if i in self.articles or self.marked and self.inside[i] and not gone[i] and plain:
+            # Parts of what is no part of an article go with it.
+            if up >= 0 and gone[up] or i in self.articles or self.marked and self.inside[i] and not gone[i] and plain:
                 continue
             value = value | 1 if plain and not gone[i] else value & ~1
             found[i] = value - (1 << 64) if value >> 63 else value
