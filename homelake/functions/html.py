@@ -1,7 +1,7 @@
 """Field extraction from stored pages.
 
-A page is parsed once, in Arrow batches, for all fields asked of it; choosing among labelled items
-and cleaning of texts stay column expressions. Elements are found at any depth, with any quoting
+A page is parsed once, in Arrow batches, for all fields asked of it; cleaning of texts stays column
+expressions. Elements are found at any depth, with any quoting
 of attributes, and all character references are decoded. Selectors are a tag plus class names.
 """
 
@@ -50,35 +50,88 @@ class Items:
             values.append(page.text(self.value.first(page, block)))
 
 
+@dataclass(frozen=True)
+class Choice:
+    """The value of the first item whose label contains ``label`` and that has a value element.
+
+    With ``skip_blank`` an item with a blank value is passed over; otherwise it ends the search.
+    """
+
+    items: Items
+    label: str
+    skip_blank: bool = False
+
+
+#: Labels whose choices a process remembers: pages of a site repeat them.
+_LABELS = 10_000
+
+
+class _Chooser:
+    """The choices among one kind of items, looked for while a page's items are read once."""
+
+    def __init__(self, items: Items, choices: dict[str, Choice]):
+        self.items, self.names = items, list(choices)
+        self.wanted = [c.label.lower() for c in choices.values()]
+        self.skip_blank = [c.skip_blank for c in choices.values()]
+        self.known: dict[str, list[int]] = {}
+
+    def _fitting(self, label: str) -> list[int]:
+        if len(self.known) >= _LABELS:
+            self.known.clear()
+        text = label.lower()
+        found = self.known[label] = [i for i, w in enumerate(self.wanted) if w in text]
+        return found
+
+    def read(self, page: Page, out: dict[str, list[str | None]]) -> None:
+        labels, values, found = [], [], [None] * len(self.wanted)
+        self.items.read(page, labels, values)
+        for label, value in zip(labels, values, strict=True):
+            if label is None or value is None:
+                continue
+            fitting = self.known.get(label)
+            for i in self._fitting(label) if fitting is None else fitting:
+                if found[i] is None and not (self.skip_blank[i] and not value.strip(BROWSER_SPACE)):
+                    found[i] = value
+        for name, value in zip(self.names, found, strict=True):
+            out[name].append(value)
+
+
 def element(tag: str, *classes: str, exact_class: str | None = None) -> Selector:
     return Selector(tag, classes, exact_class)
 
 
-def fields(html: Column | str, texts: dict[str, Selector] = {}, items: dict[str, Items] = {}) -> Column:
-    """One struct for a page: the text of each first element, and each list of labelled items.
+def fields(
+    html: Column | str, texts: dict[str, Selector] = {}, items: dict[str, Items] = {}, choices: dict[str, Choice] = {}
+) -> Column:
+    """One struct for a page: the text of each first element, each list of labelled items, and each
+    choice among such items, which are read once for all choices among them.
 
     Null for a null page. Texts are as written, with the space around them; null where there is
     no such element.
     """
-    kinds = [f"`{n}` string" for n in texts] + [f"`{n}` array<struct<label:string,value:string>>" for n in items]
+    kinds = [f"`{n}` string" for n in [*texts, *choices]] + [f"`{n}` array<struct<label:string,value:string>>" for n in items]
 
     @F.arrow_udf("struct<" + ", ".join(k.replace("` ", "`:", 1) for k in kinds) + ">")
     def read(pages: pa.Array) -> pa.Array:
-        heads = {n: [] for n in texts}
+        heads = {n: [] for n in [*texts, *choices]}
+        kinds_of = dict.fromkeys(c.items for c in choices.values())
+        choosers = [_Chooser(x, {n: c for n, c in choices.items() if c.items == x}) for x in kinds_of]
         labels, values = {n: [] for n in items}, {n: [] for n in items}
         ends = {n: [0] for n in items}
         for source in pages:
             page = Page(source.as_py() or "")
             for n, selector in texts.items():
                 heads[n].append(page.text(selector.first(page)))
+            for chooser in choosers:
+                chooser.read(page, heads)
             for n, item in items.items():
                 item.read(page, labels[n], values[n])
                 ends[n].append(len(labels[n]))
-        columns = [pa.array(heads[n], pa.string()) for n in texts]
+        columns = [pa.array(heads[n], pa.string()) for n in heads]
         for n in items:
             pairs = pa.StructArray.from_arrays([pa.array(x[n], pa.string()) for x in (labels, values)], ["label", "value"])
             columns.append(pa.ListArray.from_arrays(pa.array(ends[n], pa.int32()), pairs))
-        return pa.StructArray.from_arrays(columns, [*texts, *items])
+        return pa.StructArray.from_arrays(columns, [*heads, *items])
 
     return read(_col(html))
 

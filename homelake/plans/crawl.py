@@ -59,12 +59,15 @@ class Selectors:
     )
 
 
-def _items(s: Selectors) -> dict[str, H.Items]:
+def _choices(s: Selectors) -> dict[str, H.Choice]:
     spans = {name: H.element("span", name) for name in (s.spec_title, s.spec_value, s.card_value, s.post_title, s.post_value)}
+    specs = H.Items(H.element("div", s.spec_item), spans[s.spec_value], spans[s.spec_title])
+    cards = H.Items(H.element("span", s.card_item), spans[s.card_value])
+    posts = H.Items(H.element("div", *s.post_item), spans[s.post_value], spans[s.post_title])
     return {
-        "specs": H.Items(H.element("div", s.spec_item), spans[s.spec_value], spans[s.spec_title]),
-        "cards": H.Items(H.element("span", s.card_item), spans[s.card_value]),
-        "posts": H.Items(H.element("div", *s.post_item), spans[s.post_value], spans[s.post_title]),
+        **{c: H.Choice(specs, label) for c, label in s.spec_labels.items()},
+        **{c: H.Choice(cards, f" {icon} ") for c, icon in s.card_icons.items()},
+        **{c: H.Choice(posts, label, skip_blank=True) for c, label in s.post_labels.items()},
     }
 
 
@@ -81,13 +84,9 @@ def listing_records(
         "address": H.element("span", exact_class=s.address_class),
         "project_name": H.element("div", exact_class=s.project_class),
     }
-    found = pages.withColumn("_page", H.fields("html", heads, _items(s)))
-    texts = {
-        **{c: H.trimmed(f"_page.{c}") for c in heads},
-        **{c: H.value_text("_page.specs", label) for c, label in s.spec_labels.items()},
-        **{c: H.value_text("_page.cards", f" {icon} ") for c, icon in s.card_icons.items()},
-        **{c: H.value_text("_page.posts", label, skip_blank=True) for c, label in s.post_labels.items()},
-    }
+    choices = _choices(s)
+    found = pages.withColumn("_page", H.fields("html", heads, choices=choices))
+    texts = {c: H.trimmed(f"_page.{c}") for c in [*heads, *choices]}
     # Found once here, tested for blanks in the next projection.
     found = found.withColumns({f"_t_{c}": text for c, text in texts.items()})
     blank_when_absent = [*s.spec_labels, *s.card_icons]

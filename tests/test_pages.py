@@ -140,3 +140,39 @@ def test_fields_of_pages_with_open_items(spark):
     page = '<ul><li class="i"><span class="t">Giá<span class="v">5</span><li class="i"><span class="t">Khu</span><span class="v">x</ul>after'
     found = one(spark, page, H.fields("html", items={"x": H.Items(H.element("li", "i"), H.element("span", "v"), H.element("span", "t"))})["x"])
     assert [(r.label, r.value) for r in found] == [("Giá5", "5"), ("Khu", "x")]
+
+
+def test_choices_are_made_while_a_page_is_read_once(spark):
+    """The value of the first fitting item with a value element, as ``value_text`` finds it in the list."""
+    from homelake.plans.crawl import listing_records
+
+    items = H.Items(H.element("li", "i"), H.element("span", "v"), H.element("b"))
+    page = (
+        "<li class=i><b>GIÁ</b><li class=i><b>giá x</b><span class=v> </span><li class='i'><b>Giá</b><span class=v> 2&nbsp;</span>"
+        "<li class=i><span class=v>no label</span><li class=i><b>Đường</b><span class='v w'>3</span>"
+    )
+    choices = {"a": H.Choice(items, "Giá"), "b": H.Choice(items, "giá", skip_blank=True), "c": H.Choice(items, "ĐƯỜNG"), "d": H.Choice(items, "none")}
+    rows = spark.createDataFrame([(page,), (None,), ("",)], "html string").select(H.fields("html", {"t": H.element("b")}, {"x": items}, choices).alias("f"))
+    found = rows.select(*[H.trimmed(f"f.{n}").alias(n) for n in choices], *[H.value_text("f.x", c.label, c.skip_blank).alias(f"{n}2") for n, c in choices.items()])
+    assert [tuple(r)[:4] for r in found.collect()] == [tuple(r)[4:] for r in found.collect()]
+    assert tuple(found.first())[:4] == ("", "2", "3", None)
+
+    # Records of pages need no list of items, which took most of a record's time outside of the parser.
+    pages = spark.createDataFrame([("m", "u", page)], "main_page_url string, url string, html string")
+    plan = listing_records(pages, F.lit("t"), F.lit("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "lambda" not in plan
+
+
+def test_tags_are_told_by_how_they_are_written():
+    from homelake.functions import dom
+
+    page = "<div class='a b' id=1><span class=v>x</span></div>"
+    first, second = Page(page * 3), Page(page)
+    assert list(first.find_all("div", ("b", "a"))) == [0, 2, 4] and second.first("div", ("c",)) is None
+    assert dom._TOKENS["<div class='a b' id=1>"][0] == "div" and dom._READ[" class='a b' id=1"] == {"class": "a b", "id": "1"}
+    # What is kept is bounded, in number and in length.
+    for n in range(dom._MOST + 10):
+        Page(f"<p class=c{n}>").first("p", (f"c{n}",))
+    assert len(dom._TOKENS) <= dom._MOST and len(dom._READ) <= dom._MOST and len(dom._MATCHING) <= dom._MOST
+    long = f"<p class='{'z' * dom._LONG}'>"
+    assert Page(long).first("p", ("z" * dom._LONG,)) == 0 and long not in dom._TOKENS
