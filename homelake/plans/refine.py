@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.keyed import newest_listing, upsert_aligned
-from ..sources.lake import KEY, Lake
+from ..sources.lake import KEY, Lake, write_parts
 from .clean import PENDING, clean, clean_columns
 
 #: Loads of one run: their names pass through the driver.
@@ -67,7 +67,7 @@ def refine_rows(lake: Lake, staging: DataFrame, run: int, feed: str = "refine",
     rows = routed(staging).observe(
         split, F.sum(valid).alias("good"), F.sum(1 - valid).alias("bad"), F.max(F.unix_micros("created_at")).alias("last")
     )
-    rows.write.mode("overwrite").partitionBy("is_valid").parquet(folder)
+    write_parts(rows, folder, "is_valid", 2)
 
     good = lake.read_path(folder, schemas.ROUTED).where("is_valid").select(
         *[F.col(f"v_{c}").alias(c) for c in schemas.CLEAN_COLUMNS], "ingest_seq", "source_file"

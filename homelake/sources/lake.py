@@ -42,6 +42,21 @@ def _readable(loaded: DataFrame) -> DataFrame:
     return loaded.where("corrupt_record is null").select(*schemas.STAGING.fieldNames())
 
 
+def write_parts(rows: DataFrame, path: str, column: str, values: int) -> None:
+    """Write (or rewrite) rows as Parquet in a folder for each of the few ``values`` of a column.
+
+    A task keeps a file open for each value; otherwise Spark sorts all rows of a task by the column
+    first, in memory that grows with the task's input.
+    """
+    conf, name = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, str(max(values, int(before))))
+    try:
+        rows.write.mode("overwrite").partitionBy(column).parquet(path)
+    finally:
+        conf.set(name, before)
+
+
 _BY_LOAD = T.StructField("load", T.StringType())
 
 

@@ -9,6 +9,7 @@ from homelake.operators.paging import read_page, write_pages
 from homelake.plans import clean as P
 from homelake.plans.refine import routed
 from homelake.registry.queries import QUERIES
+from homelake.sources.lake import write_parts
 from homelake.sources.sample_tables import listings
 
 FOLDER = "/root/testdata/sf0.001"
@@ -75,6 +76,21 @@ def test_cleaning_is_generated_in_methods_that_the_jvm_compiles(spark, tmp_path)
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def last_plan(spark):
+    """Plan of the last query that was run."""
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return done.apply(done.size() - 1).physicalPlanDescription()
+
+
+def test_rows_are_split_without_sorting_a_task(spark, tmp_path):
+    rows = spark.range(1000).select("id", (F.col("id") % 3 > 0).alias("is_valid"))
+    write_parts(rows, str(tmp_path / "parts"), "is_valid", 2)
+    assert "Sort" not in last_plan(spark)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    found = spark.read.schema(rows.schema).parquet(str(tmp_path / "parts"))
+    assert sorted(found.collect()) == sorted(rows.collect()) and found.select("is_valid").distinct().count() == 2
+
+
 def test_a_page_by_index_reads_its_ranges(spark, tmp_path):
     rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"))
     write_pages(rows, str(tmp_path / "pages"), ["a", "b"], 10)
