@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LISTING_SQL = """
+_LISTING_COLUMNS = """
 select o_orderkey as ingest_seq,
   'https://example.org/nha-dat-ban/p' || cast(o_orderkey % 40 as string) as main_page_url,
   'https://example.org/' || case o_orderkey % 13
@@ -68,33 +68,65 @@ select o_orderkey as ingest_seq,
   'VIP ' || o_orderstatus as post_type, 'example.org' as source,
   cast(o_custkey as string) || 'T' as crawled_at,
   o_orderdate as created_at
-from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey
 """
+_LISTING_TABLES = """from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey
+"""
+LISTING_SQL = _LISTING_COLUMNS + _LISTING_TABLES
+
+#: Bytes of the orders table for one task of listing rows: a row of it is some ten bytes as stored, and
+#: more than a thousand as a listing.
+LISTING_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _size(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def listing_tasks(spark: SparkSession, folder: str) -> int:
+    """Tasks that the listing rows need by their size."""
+    return max(1, -(-_size(table(spark, folder, "orders")) // LISTING_BYTES))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores for per-row work on a table that is less than one input split.
 
     At most the bytes of a split are exchanged; any larger table is read in as many tasks as it
     has splits.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = _size(df)
     split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size <= split else df
 
 
-def listings(spark: SparkSession, folder: str) -> DataFrame:
-    """Staging-shaped rows; joins are left to Spark, which broadcasts only what it knows is small."""
-    return spark.sql(
-        LISTING_SQL,
-        orders=spread(table(spark, folder, "orders"), "o_orderkey"),
+def _in_parts(name: str) -> F.Column:
+    """The column as it is, through a function that Spark interprets: a projection that has one is compiled
+    in parts. As one method, that of very many columns is beyond what the JVM compiles."""
+    return F.get(F.transform(F.array(name), lambda value: value), F.lit(0))
+
+
+def listings(spark: SparkSession, folder: str, ordered: bool = False) -> DataFrame:
+    """Staging-shaped rows; joins are left to Spark, which broadcasts only what it knows is small.
+
+    The joined rows are dealt to tasks before they grow to listings, by as many as their size asks for;
+    with ``ordered`` all are sorted by ``ingest_seq``.
+    """
+    joined = spark.sql(
+        "select o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_orderdate, n_name " + _LISTING_TABLES,
+        orders=table(spark, folder, "orders"),
         customer=table(spark, folder, "customer"),
         nation=table(spark, folder, "nation"),
     )
+    tasks = max(spark.sparkContext.defaultParallelism, listing_tasks(spark, folder))
+    if ordered:
+        dealt = joined.repartitionByRange(tasks, "o_orderkey").sortWithinPartitions("o_orderkey")
+    else:
+        dealt = joined.repartition(tasks, "o_orderkey", "o_custkey")
+    rows = spark.sql(_LISTING_COLUMNS + "from {joined}", joined=dealt)
+    return rows.withColumn("subpage_url", _in_parts("subpage_url"))
 
 
 def _varied(plain: F.Column, nested: F.Column, referenced: F.Column) -> F.Column:
@@ -193,7 +225,7 @@ def listing_pages(rows: DataFrame, selectors) -> DataFrame:
     return rows.select(
         "ingest_seq",
         "main_page_url",
-        F.col("subpage_url").alias("url"),
+        _in_parts("subpage_url").alias("url"),
         F.concat(*parts).alias("html"),
         "source",
         "crawled_at",

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from homelake.operators.paging import read_page, write_pages
 from homelake.plans import clean as P
 from homelake.plans.refine import routed
+from homelake.plans.crawl import Selectors
 from homelake.registry.queries import QUERIES
+from homelake.sources import sample_tables
 from homelake.sources.lake import write_parts
-from homelake.sources.sample_tables import listings
+from homelake.sources.sample_tables import listing_pages, listings
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -91,6 +93,39 @@ def test_rows_are_split_without_sorting_a_task(spark, tmp_path):
     assert sorted(found.collect()) == sorted(rows.collect()) and found.select("is_valid").distinct().count() == 2
 
 
+def write_orders(spark, folder, n=3000):
+    orders = spark.range(n).selectExpr(
+        f"if(id % 7 = 0, 5, {n} - id) as o_orderkey", "id % 40 as o_custkey", "'1-URGENT' as o_orderpriority", "'O' as o_orderstatus",
+        "cast('1997-01-01' as timestamp_ntz) as o_orderdate",
+    )
+    orders.write.parquet(f"{folder}/orders.parquet")
+    spark.range(40).selectExpr("id as c_custkey", "id % 3 as c_nationkey").write.parquet(f"{folder}/customer.parquet")
+    spark.range(3).selectExpr("id as n_nationkey", "concat('N', id) as n_name").write.parquet(f"{folder}/nation.parquet")
+    return folder
+
+
+def test_listings_are_dealt_by_their_size_before_they_are_made(spark, tmp_path, monkeypatch):
+    folder = write_orders(spark, str(tmp_path))
+    plain = sorted(listings(spark, folder).collect(), key=str)
+    monkeypatch.setattr(sample_tables, "LISTING_BYTES", 1000, raising=False)
+    tasks = sample_tables.listing_tasks(spark, folder)
+    made = listings(spark, folder)
+    assert tasks > 8 and made.rdd.getNumPartitions() == tasks
+    assert len(plain) == 3000 and sorted(made.collect(), key=str) == plain
+    in_order = listings(spark, folder, ordered=True)
+    keys = [r.ingest_seq for r in in_order.select("ingest_seq").collect()]
+    assert keys == sorted(keys) and in_order.rdd.getNumPartitions() > 8
+    for df in (made, in_order):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "partitioning(o_orderkey" in text and "partitioning(ingest_seq" not in text
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (listings(spark, folder), listing_pages(listings(spark, folder), Selectors())):
+            assert largest_method(spark, df) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_a_page_by_index_reads_its_ranges(spark, tmp_path):
     rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"))
     write_pages(rows, str(tmp_path / "pages"), ["a", "b"], 10)
