@@ -27,7 +27,8 @@ END = 1
 #: Class from which a rest is packed whole: its padding is at most 1 / (k + 1) of it.
 FINE = 32
 WIDTH = 4  # bytes of an id
-_ROWS = 5000  # given back at once
+# Given back at once: rows, and bytes of their ids.
+_ROWS, _BYTES = 5000, 2 << 20
 
 PIECES = (
     "doc_id {}, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -43,6 +44,7 @@ class Packer:
         self.next = first_sequence
         self.bins: dict[int, list] = defaultdict(list)
         self.rows: list[tuple] = []
+        self.bytes = 0
 
     def add(self, doc_id, ids: bytes) -> None:
         total, at = len(ids) // WIDTH, 0
@@ -72,6 +74,15 @@ class Packer:
             self.rows.append((doc_id, start, size, total, self.next, offset, k, padded, ids))
             offset += size
         self.next += 1
+        self.bytes += filled * WIDTH
+
+    def full(self) -> bool:
+        """If the rows are to be given back."""
+        return len(self.rows) >= _ROWS or self.bytes >= _BYTES
+
+    def taken(self) -> list[tuple]:
+        done, self.rows, self.bytes = self.rows, [], 0
+        return done
 
     def finish(self) -> None:
         """Close the open bins: their pieces one after another, cut wherever a sequence is full."""
@@ -121,15 +132,14 @@ def pack(
         types = None
 
         def out():
-            done, packer.rows = packer.rows, []
-            columns = list(zip(*done, strict=True))
+            columns = list(zip(*packer.taken(), strict=True))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         for batch in batches:
             types = [batch.schema.field(0).type, *[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary()]
             for key, content in zip(batch.column(0), batch.column(1), strict=True):
                 packer.add(key.as_py(), words.encode(content.as_py()) + mark)
-                if len(packer.rows) >= _ROWS:
+                if packer.full():
                     yield out()
         packer.finish()
         if packer.rows:

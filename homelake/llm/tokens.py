@@ -10,8 +10,9 @@ from functools import lru_cache
 # tokenizer's own normaliser.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
-#: Bytes of words and ids that a process remembers, about, and length of words that it does not.
-REMEMBERED, LONG = 96 << 20, 64
+#: Bytes of words and ids that a process remembers, about, and length of words that it does not. A worker keeps
+#: them when its task is over, beside whatever the next stages do.
+REMEMBERED, LONG = 32 << 20, 64
 _ENTRY = 130  # bytes of an entry beside those of its word and ids
 # Texts on which looking words up must give what the tokenizer gives.
 _PROBES = (

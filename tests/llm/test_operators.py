@@ -147,6 +147,32 @@ def test_word_ids_equal_those_of_the_text():
         assert np.frombuffer(words.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_packing_gives_pieces_back_by_bytes():
+    """Rows of whole sequences are 8 KB each: a batch of 5,000 would be 40 MB, in the worker and in the JVM."""
+    packer, batches = packing.Packer(0), []
+    for n in range(2000):
+        packer.add(n, bytes(4 * packing.CAPACITY))
+        if packer.full():
+            batches.append(packer.taken())
+    batches.append(packer.taken())
+    assert [row[0] for b in batches for row in b] == list(range(2000))
+    assert len(batches) > 5 and max(sum(len(row[-1]) for row in b) for b in batches) <= packing._BYTES + 4 * packing.CAPACITY
+    small = packing.Packer(0)
+    for n in range(40_000):
+        small.add(n, bytes(4))
+    assert small.full() is (len(small.rows) >= packing._ROWS)
+
+
+def test_a_worker_keeps_few_bytes_of_words():
+    from homelake.llm import tokens
+
+    words = tokens.word_tokenizer(vocabulary())
+    for start in range(0, 400_000, 1000):
+        words.encode(" ".join(f"w{start + n}x" for n in range(1000)))
+    kept = sum(len(w) + len(i) + tokens._ENTRY for known in (words.known, words.known.before) for w, i in known.items())
+    assert words.remembered == tokens.REMEMBERED and kept < 34 << 20
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
