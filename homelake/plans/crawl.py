@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.text import is_blank
+from ..functions.text import SPACE
 from ..schemas import RAW_COLUMNS
 
 
@@ -87,10 +87,11 @@ def listing_records(
     choices = _choices(s)
     found = pages.withColumn("_page", H.fields("html", heads, choices=choices))
     texts = {c: H.trimmed(f"_page.{c}") for c in [*heads, *choices]}
-    # Found once here, tested for blanks in the next projection.
-    found = found.withColumns({f"_t_{c}": text for c, text in texts.items()})
+    # Found once here, tested for blanks in the next projection; so is whether the page is blank, from its front alone.
+    blank = F.coalesce(F.ltrim("html", F.lit(SPACE)) == "", F.lit(True))
+    found = found.withColumns({f"_t_{c}": text for c, text in texts.items()} | {"_blank": blank})
     blank_when_absent = [*s.spec_labels, *s.card_icons]
-    empty = is_blank("html")
+    empty = F.col("_blank")
     values = {c: H.or_default(f"_t_{c}", "" if c in blank_when_absent else None) for c in texts}
     values = {c: F.when(~empty, v) for c, v in {**values, "crawled_at": crawled_at}.items()} | {
         "main_page_url": F.col("main_page_url"),

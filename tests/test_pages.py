@@ -176,3 +176,108 @@ def test_tags_are_told_by_how_they_are_written():
     assert len(dom._TOKENS) <= dom._MOST and len(dom._READ) <= dom._MOST and len(dom._MATCHING) <= dom._MOST
     long = f"<p class='{'z' * dom._LONG}'>"
     assert Page(long).first("p", ("z" * dom._LONG,)) == 0 and long not in dom._TOKENS
+
+
+def found_by_page(page, selectors):
+    """For each selector, what ``Marked`` is to find: text, attributes and number of elements inside for each selector."""
+    page = Page(page)
+    return [
+        [("".join(page.texts[page.starts[e] : page.ends[e]]), page._raw[e], [len(list(page.find_all(*s, inside=e))) for s in selectors])
+         for e in page.find_all(*selector)]
+        for selector in selectors
+    ]
+
+
+def found_by_marked(marked, page):
+    marked.read(page)
+    inside = lambda numbers, e: sum(e < n <= marked.lasts[e] for n in numbers)
+    return [
+        [("".join(marked.texts[marked.starts[e] : marked.ends[e]]), marked.raws[e], [inside(numbers, e) for numbers in marked.found])
+         for e in found]
+        for found in marked.found
+    ]
+
+
+def test_marked_elements_are_those_of_the_page(monkeypatch):
+    import random
+
+    from homelake.functions import dom
+
+    pick = random.Random(5)
+    tags = "div span b i p li ul table tr td a h1 h2 button option select title textarea script style head body br IMG Tbody".split()
+    written = ["", " class=i", " class='v i'", ' data-x="a>b" class="i"', " class='&#105;'", " id=1"]
+    other = ["x", " ", "&amp;", "<!-- <b> -->", "a < b", "<", ">", "</", "'", "<!x>", "<!-- c", "</Script >"]
+
+    def part():
+        tag, kind = pick.choice(tags), pick.random()
+        return f"<{tag}{pick.choice(written)}>" if kind < 0.45 else f"</{tag}>" if kind < 0.75 else pick.choice(other)
+
+    selectors = (("div", ("i",), None), ("span", ("v", "i"), None), ("li", (), "i"), ("b", (), None), ("td", (), None), ("p", (), None),
+                 ("textarea", (), None), ("br", (), None), ("h1", ("i",), None), ("head", (), None))
+    pages = ["".join(part() for _ in range(pick.randrange(50))) for _ in range(1500)]
+    pages += ["<div class=i>" * n + "x" + "</div>" * n + "<b>y" for n in (1, 99, 100, 101, 300)] + ["", ">", "<b>1<b class=i>2</b>"]
+    for most, first in ((10_000, 10**6), (200, 300)):
+        monkeypatch.setattr(dom, "_MOST", most)
+        monkeypatch.setattr(dom, "_FIRST", first)
+        marked = dom.Marked(selectors)
+        for page in pages + pages[:100]:
+            assert found_by_marked(marked, page) == found_by_page(page, selectors), page
+        assert len(marked._meanings) <= most
+
+
+def test_markup_between_texts_is_read_once(monkeypatch):
+    """A run of tags met again between other texts is looked up whole; it was read tag by tag on each page."""
+    from homelake.functions import dom
+
+    page = '<ul><!-- c --><li class="i"><span class="t">{0}</span><br></li><li class=i><b>{0}</b></li></ul><p>{0}'
+    marked = dom.Marked((("li", ("i",), None), ("span", ("t",), None)))
+    for text in ("1", "2"):
+        marked.read(page.format(text))
+    kept = marked._kept
+
+    def fail(*_):
+        raise AssertionError
+
+    for name in ("_run", "_step", "_read_whole"):
+        monkeypatch.setattr(marked, name, fail)
+    marked.read(page.format("3"))
+    assert (marked.texts, marked.found, marked.lasts, marked.raws[1]) == (["3", "3"], [[0, 2], [1]], [1, 1, 2], ' class="t"')
+    assert marked._kept == kept
+
+
+def test_tags_that_no_page_repeats_are_not_kept_as_runs():
+    from homelake.functions import dom
+
+    marked = dom.Marked((("a", ("i",), None),))
+    for n in range(3 * dom._MOST):
+        marked.read(f'<p><a class=i href="/{n}">x</a></p>')
+    assert marked.found == [[0]] and marked._kept < 50 and len(marked._meanings) <= dom._MOST
+
+
+def test_time_of_marked_elements_grows_with_the_page():
+    from homelake.functions import dom
+
+    block = '<div class="i"><span class="t">x</span><span class="v">y</span></div>'
+    cases = {"items": block, "stray": "<div></u>", "open": "<div><b>", "lists": "<ul><li>", "one run": "<div class=i><br></div>", "not tags": "x < y "}
+    for name, part in cases.items():
+        seconds = []
+        for n in (3000, 24_000):
+            best = []
+            for _ in range(3):
+                marked = dom.Marked((("div", ("i",), None), ("span", ("v",), None)))
+                start = time.process_time()
+                marked.read(part * n)
+                best.append(time.process_time() - start)
+            assert len(marked.found[0]) == (n if "class" in part else 0)
+            seconds.append(min(best))
+        assert seconds[1] < 30 * seconds[0] + 0.2, (name, seconds)
+
+
+def test_blank_pages_are_told_from_their_front(spark):
+    pages = [None, "", " \n\u00a0 ", "\u2003", " \n x", "<p>"]
+    rows = spark.createDataFrame([("m", str(i), p) for i, p in enumerate(pages)], "main_page_url string, url string, html string")
+    records = crawl.listing_records(rows, F.lit("t"), F.lit("s"))
+    assert [(r.error, r.crawled_at) for r in records.orderBy("subpage_url").collect()] == [("empty_item", None)] * 4 + [(None, "t")] * 2
+    # The whole page was trimmed from both ends for every column.
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ltrim(html") == 1 and "(trim(html" not in plan
